@@ -36,7 +36,7 @@ def _accepted(spark: SparkSession, folder: str) -> DataFrame:
 
 def record_attributes(spark: SparkSession, folder: str) -> DataFrame:
     indexed = index_records(_records(spark, folder))
-    return indexed.select("record_id", F.explode("entries").alias("e")).select(
+    return indexed.select("record_id", F.explode_outer("entries").alias("e")).where(F.col("e").isNotNull()).select(
         "record_id", "e.key", F.col("e.value").alias("value"), (F.col("e.line_no") + 1).cast("long").alias("line_no")
     )
 
@@ -56,9 +56,8 @@ def record_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 def record_fields(spark: SparkSession, folder: str) -> DataFrame:
     indexed = index_records(_records(spark, folder))
-    return indexed.select("record_id", F.posexplode("fields").alias("position", "piece")).withColumn(
-        "position", (F.col("position") + 1).cast("long")
-    )
+    exploded = indexed.select("record_id", F.posexplode_outer("fields").alias("position", "piece"))
+    return exploded.where(F.col("piece").isNotNull()).withColumn("position", (F.col("position") + 1).cast("long"))
 
 
 def record_labels(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.catalog import synthetic as syn
-from folioflow.functions.addresses import with_recipients
+from folioflow.functions.addresses import recipients as recipient_list
 from folioflow.functions.numbers import tolerant_amount
 from folioflow.operators import invoices, parameters, reconcile
 from folioflow.schemas import HEADER_DEFAULTS, HEADER_SCHEMA
@@ -105,7 +105,7 @@ def recipients(spark: SparkSession, folder: str) -> DataFrame:
             F.col("c_mktsegment"), F.lit("@z.com;a"), key, F.lit("@y.com,"),
         ).alias("raw"),
     )
-    return with_recipients(raw, "raw").select("c_custkey", F.array_join("recipients", "|").alias("recipients"))
+    return raw.select("c_custkey", F.array_join(recipient_list(F.col("raw")), "|").alias("recipients"))
 
 
 QUERIES = {

@@ -34,9 +34,15 @@ def _serie(number: Column) -> Column:
     return F.element_at(F.array(F.lit("T001"), F.lit("T002"), F.lit("T004")), (number % 3 + 1).cast("int"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of few files over all cores; one with enough partitions stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("o_orderkey")
-    return table(spark, folder, "orders").withColumn("k", k).withColumn(
+    return spread(table(spark, folder, "orders"), "o_orderkey").withColumn("k", k).withColumn(
         "number", F.when((k % 20 == 3), k - 3).otherwise(k)
     )
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioflow.functions.records import first_of_runs
 from folioflow.functions.text import trim_blanks
 
 
@@ -13,32 +14,11 @@ def split_addresses(raw: Column) -> Column:
     return F.filter(F.transform(F.split(raw, r"[,;\r\n]"), trim_blanks), lambda a: a != "")
 
 
-def with_recipients(df: DataFrame, raw: str, out: str = "recipients") -> DataFrame:
-    """Add the distinct addresses of ``raw``: compared without case, first spelling and order kept."""
-    return (
-        df.withColumn(
-            "_addresses",
-            F.array_sort(
-                F.transform(
-                    split_addresses(F.col(raw)),
-                    lambda a, i: F.struct(F.lower(a).alias("key"), i.alias("pos"), a.alias("address")),
-                )
-            ),
-        )
-        .withColumn(
-            out,
-            F.transform(
-                F.array_sort(
-                    F.transform(
-                        F.filter(
-                            "_addresses",
-                            lambda a, i: (i == 0) | (F.get(F.col("_addresses"), i - 1)["key"] != a["key"]),
-                        ),
-                        lambda a: F.struct(a["pos"], a["address"]),
-                    )
-                ),
-                lambda a: a["address"],
-            ),
-        )
-        .drop("_addresses")
+def recipients(raw: Column) -> Column:
+    """The distinct addresses of a list: compared without case, first spelling and order kept."""
+    spelled = F.transform(
+        split_addresses(raw),
+        lambda a, i: F.struct(F.lower(a).alias("key"), i.alias("pos"), a.alias("address")),
     )
+    firsts = F.transform(first_of_runs(F.array_sort(spelled)), lambda a: F.struct(a["pos"], a["address"]))
+    return F.transform(F.array_sort(firsts), lambda a: a["address"])

@@ -10,6 +10,8 @@ from folioflow.functions.text import bind, groups, or_empty, trim_blanks
 _AMOUNT = r"^([+-]?)(\d[\d,]*(?:\.\d*)?|\.\d+)\s*([+-]?)\z"
 _INTEGER = r"^[\t-\r ]*[+-]?\d+[\t-\r ]*\z"
 _QUANTITY = r"^(\(?)([+-]?)((?:\d[\d,]*)?)(?:\.(\d*))?(?:[eE]([+-]?\d{1,2}))?\s*([+-]?)(\)?)\z"
+# Already in the form quantities are written to the table.
+_USUAL_QUANTITY = r"^(?:0|[1-9]\d{0,27})(?:\.\d+)?\z"
 
 
 def tolerant_amount(text: Column) -> Column:
@@ -74,7 +76,10 @@ def quantity_text(text: Column) -> Column:
         sign = F.when(number["negative"] & number["digits"].rlike("[1-9]"), "-").otherwise("")
         return bind(before, lambda b: F.when(F.length(b) <= 28, F.concat(sign, b, after)))
 
-    return bind(bind(trim_blanks(or_empty(text)), lambda t: groups(t, _QUANTITY, 7)), plain)
+    def usual_or_any(trimmed: Column) -> Column:
+        return F.when(trimmed.rlike(_USUAL_QUANTITY), trimmed).otherwise(bind(groups(trimmed, _QUANTITY, 7), plain))
+
+    return bind(trim_blanks(or_empty(text)), usual_or_any)
 
 
 _CLOCK = r"(?:[T ]\s*(\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,6})?))?\s*([AaPp][Mm])?)?"
@@ -95,7 +100,8 @@ def loose_timestamp(text: Column) -> Column:
         return F.try_make_timestamp_ntz(
             year.try_cast("int"), month.try_cast("int"), day.try_cast("int"), hour,
             F.coalesce(minute.try_cast("int"), F.lit(0)),
-            F.coalesce(second.try_cast("decimal(16,6)"), F.lit(0)).cast("decimal(16,6)"),
+            # Casting an empty string to decimal costs an exception per row.
+            F.when(second == "", F.lit(0).cast("decimal(16,6)")).otherwise(second.try_cast("decimal(16,6)")),
         )
 
     parts = bind(

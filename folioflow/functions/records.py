@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import clean_document, concat_present, trim_blanks
+from folioflow.functions.text import bind, clean_document, concat_present, trim_blanks
 from folioflow.schemas import DESCRIPTION_MARKER
 
 
@@ -40,25 +40,25 @@ def description_fields(lines: Column) -> Column:
     return F.coalesce(F.filter(pieces, lambda p: p != ""), F.array().cast("array<string>"))
 
 
+def first_of_runs(ordered: Column) -> Column:
+    """Elements of a sorted array of structs whose ``key`` differs from the one before."""
+    return bind(
+        ordered,
+        lambda runs: F.filter(runs, lambda e, i: (i == 0) | (F.get(runs, i - 1)["key"] != e["key"])),
+    )
+
+
 def index_records(df: DataFrame, text: str = "value") -> DataFrame:
     """Add ``entries`` (first line of each key, by key), ``attributes`` (map) and ``fields``."""
     # Sorting by (key, line) puts the first line of each key at the head of its run.
     return (
         df.withColumn("lines", record_lines(F.col(text)))
-        .withColumn("_sorted", F.array_sort(record_entries(F.col("lines"))))
-        .withColumn(
-            "entries",
-            F.filter(
-                F.col("_sorted"),
-                lambda e, i: (i == 0) | (F.get(F.col("_sorted"), i - 1)["key"] != e["key"]),
-            ),
-        )
+        .withColumn("entries", first_of_runs(F.array_sort(record_entries(F.col("lines")))))
         .withColumn(
             "attributes",
             F.map_from_entries(F.transform("entries", lambda e: F.struct(e["key"], e["value"]))),
         )
         .withColumn("fields", description_fields(F.col("lines")))
-        .drop("_sorted")
     )
 
 

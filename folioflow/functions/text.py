@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as the documents' producer counts it: every Unicode blank, not only ASCII ones.
-BLANK = r"[\s\x{85}\p{Z}]"
+# Whitespace as the documents' producer counts it, every Unicode blank and line end.
+BLANKS = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def trim_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def or_empty(text: Column) -> Column:

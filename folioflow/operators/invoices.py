@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Iterator
+from xml.etree import ElementTree
 from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +18,67 @@ from folioflow.schemas import (
     HEADER_DEFAULTS, HEADER_SCHEMA, HEADER_TAGS, LINE_CHILD_TAGS, LINE_TAG, REFERENCE_DOCUMENT_TYPES,
 )
 
-_HEADER_TYPE = "map<string,string>"
 _LINES_TYPE = "array<struct<part_number:string,description:string,quantity:string>>"
 
 
+# Blanks that make up a text run XML readers drop.
+_XML_BLANKS = " \t\r\n"
+_DECLARATION = re.compile(r"xmlns(?::(\w+))?\s*=")
+
+
+@functools.lru_cache(maxsize=64)
+def _names_in(uri: str) -> tuple[dict[str, str], str, dict[str, str]]:
+    """Header tags, line tag and line children as ElementTree names them."""
+    def full(tag: str) -> str:
+        return f"{{{uri}}}{tag.partition(':')[2]}"
+
+    return (
+        {full(tag): tag for tag in HEADER_TAGS},
+        full(LINE_TAG),
+        {full(tag): column for tag, column in LINE_CHILD_TAGS.items()},
+    )
+
+
+def _inner_text(element: ElementTree.Element) -> str:
+    if len(element):
+        return "".join(run for run in element.itertext() if run.strip(_XML_BLANKS))
+    text = element.text or ""
+    return text if text.strip(_XML_BLANKS) else ""
+
+
 def flatten_document(text: str) -> tuple[dict[str, str], list[dict[str, str]]]:
-    """Header tags (first anywhere) and stock lines (direct children) of one document, in one pass.
+    """Header tags (first anywhere) and stock lines (direct children) of one document.
 
     Tags are matched by prefix and local name as written. Text runs of nothing but blanks do not
-    count. Raises ``ExpatError`` on malformed documents and undeclared prefixes.
+    count. Raises ``ParseError`` or ``ExpatError`` on malformed documents and undeclared prefixes.
     """
+    prefix = LINE_TAG.partition(":")[0]
+    if [m.group(1) for m in _DECLARATION.finditer(text)] != [prefix]:
+        return _flatten_any_prefix(text)
+    # A single declaration, of our prefix: names by namespace are names by prefix.
+    root = ElementTree.fromstring(text)
+    uri = next((e.tag[1:].partition("}")[0] for e in root.iter() if e.tag[0] == "{"), "")
+    header_tags, line_tag, child_tags = _names_in(uri)
+    header: dict[str, str] = {}
+    lines = []
+    for element in root.iter():
+        tag = header_tags.get(element.tag)
+        if tag is not None and tag not in header:
+            header[tag] = _inner_text(element)
+        elif element.tag == line_tag:
+            line = dict.fromkeys(LINE_CHILD_TAGS.values(), "")
+            found = set()
+            for child in element:
+                column = child_tags.get(child.tag)
+                if column is not None and column not in found:
+                    found.add(column)
+                    line[column] = _inner_text(child)
+            lines.append(line)
+    return header, lines
+
+
+def _flatten_any_prefix(text: str) -> tuple[dict[str, str], list[dict[str, str]]]:
+    """The same for documents with other or nested namespace declarations: prefixes tracked one by one."""
     parser = expat.ParserCreate(namespace_separator=" ")
     parser.namespace_prefixes = True
     header: dict[str, list[str]] = {}
@@ -38,7 +92,7 @@ def flatten_document(text: str) -> tuple[dict[str, str], list[dict[str, str]]]:
     def end_run() -> None:
         text_run = "".join(run)
         run.clear()
-        if text_run.strip(" \t\r\n"):
+        if text_run.strip(_XML_BLANKS):
             for pieces in collecting:
                 pieces.append(text_run)
 
@@ -81,37 +135,51 @@ def flatten_document(text: str) -> tuple[dict[str, str], list[dict[str, str]]]:
     )
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_TEXT_COLUMNS = list(HEADER_TAGS.values())
+_LINE_TYPE = pa.list_(pa.struct([(column, pa.string()) for column in LINE_CHILD_TAGS.values()]))
+
+
+def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        tags, lines, errors = [], [], []
-        for text in batch["xml"]:
+        headers: list[list[str | None]] = [[] for _ in HEADER_TAGS]
+        lines, errors = [], []
+        for text in batch.column("xml").to_pylist():
             try:
                 found, stock = flatten_document(text)
-                tags.append(found)
-                lines.append(stock)
                 errors.append(None)
-            except (expat.ExpatError, ValueError) as error:
-                tags.append({})
-                lines.append([])
+            except (ElementTree.ParseError, expat.ExpatError, ValueError) as error:
+                found, stock = {}, []
                 errors.append(str(error))
-        yield batch.drop(columns="xml").assign(tags=tags, lines=lines, xml_error=errors)
+            for column, tag in zip(headers, HEADER_TAGS):
+                column.append(found.get(tag, ""))
+            lines.append(stock)
+        kept = [name for name in batch.schema.names if name != "xml"]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(name) for name in kept),
+                *(pa.array(values, pa.string()) for values in headers),
+                pa.array(lines, _LINE_TYPE),
+                pa.array(errors, pa.string()),
+            ],
+            [*kept, *_TEXT_COLUMNS, "lines", "xml_error"],
+        )
 
 
 def parse_documents(documents: DataFrame, text: str = "value", keep: tuple[str, ...] = ("path",)) -> DataFrame:
-    """Parse whole XML documents in Arrow batches: ``tags``, ``lines`` and ``xml_error``.
+    """Parse whole XML documents in Arrow batches: one text column per tag, ``lines``, ``xml_error``.
 
-    A malformed document becomes a row with an error, it does not stop the job.
+    A missing tag is an empty string. A malformed document becomes a row with an error, it does
+    not stop the job.
     """
     source = documents.select(*keep, clean_document(F.col(text)).alias("xml"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema.fields)
-    return source.mapInPandas(_parse_batches, f"{kept}, tags {_HEADER_TYPE}, lines {_LINES_TYPE}, xml_error string")
+    texts = ", ".join(f"{column} string" for column in _TEXT_COLUMNS)
+    return source.mapInArrow(_parse_batches, f"{kept}, {texts}, lines {_LINES_TYPE}, xml_error string")
 
 
 def with_header_fields(parsed: DataFrame) -> DataFrame:
-    """Header columns as plain text, amounts parsed; a missing tag is an empty string."""
-    raw = {column: F.coalesce(F.element_at("tags", F.lit(tag)), F.lit("")) for tag, column in HEADER_TAGS.items()}
-    flat = parsed.withColumns(raw)
-    return flat.withColumns(
+    """Amounts parsed, and the reference document kept only where the document type has one."""
+    return parsed.withColumns(
         {
             "referenceDocNumber": F.when(
                 F.col("TipDoc").isin(REFERENCE_DOCUMENT_TYPES), F.col("referenceDocNumber")
@@ -171,9 +239,9 @@ def header_rows(accepted: DataFrame) -> DataFrame:
 
 def line_rows(accepted: DataFrame, *extra: str) -> DataFrame:
     """Rows of the line table, in document order; documents without lines give none."""
-    return accepted.select("FacInterno", "NumPed", *extra, F.explode("checked_lines").alias("_line")).select(
-        "FacInterno", "NumPed", *extra, "_line.*"
-    )
+    # Outer, then filtered: a plain explode makes Spark test the array's size below, computing it twice.
+    exploded = accepted.select("FacInterno", "NumPed", *extra, F.explode_outer("checked_lines").alias("_line"))
+    return exploded.where(F.col("_line").isNotNull()).select("FacInterno", "NumPed", *extra, "_line.*")
 
 
 def rows_affected(outcomes: DataFrame) -> DataFrame:
