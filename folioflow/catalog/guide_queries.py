@@ -27,7 +27,7 @@ def _judged(spark: SparkSession, folder: str) -> DataFrame:
     orders = syn.orders(spark, folder)
     keys = reconcile.registered_keys(syn.registered_guides(orders), "greName")
     pdfs = with_effective_time(non_empty(syn.pdf_listing(orders)))
-    return guides.evaluate(pdfs, syn.text_records(orders), keys)
+    return guides.evaluate(pdfs, non_empty(syn.text_records(orders)), keys)
 
 
 def _accepted(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,21 +108,17 @@ def records_arrived(spark: SparkSession, folder: str) -> DataFrame:
     """PDFs waiting for each arrived record, oldest first."""
     orders = syn.orders(spark, folder)
     waiting = guides.pdfs_of_arrived_records(
-        non_empty_records(syn.text_records(orders)), non_empty(syn.pdf_listing(orders))
+        non_empty(syn.text_records(orders)), non_empty(syn.pdf_listing(orders))
     )
     return waiting.select(
         "path", fold_case(F.col("txt_name")).alias("txt_name"), text_time("modificationTime").alias("written")
     )
 
 
-def non_empty_records(records: DataFrame) -> DataFrame:
-    return records.where(F.length("value") > 0)
-
-
 def matched_records(spark: SparkSession, folder: str) -> DataFrame:
     """Which PDFs have their text record."""
     orders = syn.orders(spark, folder)
-    joined = guides.join_records(guides.with_names(syn.pdf_listing(orders)), syn.text_records(orders))
+    joined = guides.join_records(guides.with_names(syn.pdf_listing(orders)), non_empty(syn.text_records(orders)))
     return joined.groupBy(F.col("companion").isNull().alias("bad_name"), F.col("text").isNotNull().alias("found")).agg(
         F.count("*").alias("files")
     )

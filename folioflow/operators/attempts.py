@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,15 +14,29 @@ from folioflow.operators.skew import in_blocks, mark_winner, run_length
 DEFAULT_MAX_ATTEMPTS = 3
 
 
-def number_attempts(outcomes: DataFrame, max_attempts: int = DEFAULT_MAX_ATTEMPTS) -> DataFrame:
+def attempt_rows(judged: DataFrame, batch_id: str, as_of: dt.datetime) -> DataFrame:
+    """Outcomes of a job run as attempts; skipped files count as handled."""
+    return judged.select(
+        "path",
+        F.lit(as_of).cast("timestamp_ntz").alias("ts"),
+        F.concat(F.lit(f"{batch_id}/"), F.col("path")).alias("attempt_id"),
+        (F.col("status") != "failed").alias("success"),
+        F.col("reason").alias("error"),
+    )
+
+
+def number_attempts(
+    outcomes: DataFrame, max_attempts: int = DEFAULT_MAX_ATTEMPTS, blocks: int | None = None
+) -> DataFrame:
     """Failed attempts with their ``attempts`` count and whether they end in ``quarantined``.
 
     ``outcomes`` holds ``path, ts, attempt_id, success, error``. The count runs per path (without
-    case), a success resets it and so does the move to quarantine.
+    case), a success resets it and so does the move to quarantine. ``blocks`` is the number of
+    pieces the ordered attempts are cut into, by default the session's shuffle partitions.
     """
     limit = max(1, max_attempts)
     keyed = outcomes.withColumn("_path", fold_case(F.col("path")))
-    blocks = in_blocks(keyed, ["_path", "ts", "attempt_id"])
+    blocks = in_blocks(keyed, ["_path", "ts", "attempt_id"], blocks)
     counted = run_length(blocks, "_path", ["ts", "attempt_id"], F.col("success"), "_failures")
     return (
         counted.where(~F.col("success"))

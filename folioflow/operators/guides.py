@@ -26,14 +26,13 @@ def with_names(pdfs: DataFrame) -> DataFrame:
 
 
 def join_records(pdfs: DataFrame, records: DataFrame) -> DataFrame:
-    """Each PDF with its text record, ``text`` null when there is none; empty records do not count.
+    """Each PDF with its text record, ``text`` null when there is none.
 
-    ``records`` holds ``path`` and ``value``. Names are compared without case, and a folder holds
-    a name once, so the right side is unique. Malformed PDF names keep out of the join's way.
+    ``records`` holds ``path`` and ``value`` of non-empty files. Names are compared without case,
+    and a folder holds a name once, so the right side is unique. Malformed PDF names keep out of
+    the join's way.
     """
-    texts = records.where(F.length("value") > 0).select(
-        fold_case(file_name(F.col("path"))).alias("_txt"), F.col("value").alias("text")
-    )
+    texts = records.select(fold_case(file_name(F.col("path"))).alias("_txt"), F.col("value").alias("text"))
     key = spread_nulls(fold_case(F.col("companion")), F.col("path"))
     return pdfs.withColumn("_key", key).join(texts, F.col("_key") == F.col("_txt"), "left").drop("_key", "_txt")
 

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from folioflow.functions.names import file_name, relative_to
 from folioflow.functions.text import fold_case
 from folioflow.operators import guides, invoices
+from folioflow.operators.attempts import (
+    DEFAULT_MAX_ATTEMPTS, attempt_rows, number_attempts, quarantine_rows,
+)
 from folioflow.operators.listing import DEFAULT_MAX_FILES, distinct_paths, from_day, non_empty, with_effective_time
 from folioflow.operators.reconcile import not_registered, pending_guides, pending_invoices, registered_keys
 from folioflow.session import cut_lineage
-from folioflow.sinks.files import copy_routed
+from folioflow.sinks.files import copy_routed, write_quarantine
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry, first_of_each_file
 from folioflow.sources.landing import PDF_FILES, TXT_FILES, XML_FILES, list_files, read_documents
 
@@ -38,13 +41,13 @@ def companion_records(spark: SparkSession, folder: str, pdfs: DataFrame) -> Data
 
 def register_guides(
     registry: GuideRegistry, pdfs: DataFrame, records: DataFrame, as_of: dt.datetime, batch_id: str,
-    folders: Folders | None = None, copies: bool = True,
+    folders: Folders | None = None, outcomes: str | None = None,
 ) -> DataFrame:
     """Judge a batch of PDFs and register the accepted ones; returns one outcome row per PDF.
 
     All checks see the registry as it was before the batch; within the batch the oldest file of a
     guide name wins and the last guide of a delivery stays active. PDFs are copied before
-    anything is registered.
+    anything is registered. ``outcomes`` is the folder of the attempt log.
     """
     spark = registry.spark
     keys = registered_keys(registry.keys(), "greName")
@@ -52,25 +55,42 @@ def register_guides(
     judged = cut_lineage(guides.evaluate(arrivals, records, keys))
     if registry.committed(batch_id):
         return judged
+    log_attempts(judged, outcomes, batch_id, as_of)
     accepted = guides.first_of_each_guide(judged.where(F.col("status") == "accepted"))
-    if copies and folders is not None:
+    if folders is not None:
         accepted = copy_routed(spark, accepted, folders.pdf, folders.routed, batch_id)
     registry.append(batch_id, guides.guide_rows(guides.supersede_within(accepted), as_of), as_of)
     return judged
 
 
 def register_invoices(
-    registry: InvoiceRegistry, documents: DataFrame, as_of: dt.datetime, batch_id: str
+    registry: InvoiceRegistry, documents: DataFrame, as_of: dt.datetime, batch_id: str, outcomes: str | None = None
 ) -> DataFrame:
     """Parse a batch of invoice files (``path, name_file, value``) and register the valid ones."""
     keys = registered_keys(registry.headers(), "NameFile")
     wanted = not_registered(documents, F.col("name_file"), keys)
     judged = cut_lineage(invoices.evaluate(wanted))
     if not registry.committed(batch_id):
+        log_attempts(judged, outcomes, batch_id, as_of)
         registry.append(batch_id, first_of_each_file(judged.where(F.col("status") == "accepted")), as_of)
     return judged
 
 
+def log_attempts(judged: DataFrame, folder: str | None, batch_id: str, as_of: dt.datetime) -> None:
+    if folder is not None:
+        attempt_rows(judged, batch_id, as_of).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+
+def quarantine(
+    spark: SparkSession, outcomes: str, target: str, batch_id: str, max_attempts: int = DEFAULT_MAX_ATTEMPTS
+) -> DataFrame:
+    """Count the attempts of the whole log and write the files that failed too often."""
+    schema = "path string, ts timestamp_ntz, attempt_id string, success boolean, error string"
+    rows = quarantine_rows(number_attempts(spark.read.schema(schema).parquet(f"{outcomes}/batch=*"), max_attempts))
+    write_quarantine(rows, target, batch_id)
+    return rows
+
+
 class DailyRun:
     """The daily reconciliation. A run that finds another one active does nothing."""
 

@@ -19,11 +19,10 @@ def copy_routed(spark: SparkSession, accepted: DataFrame, pdf_folder: str, targe
 
     Guides whose PDF could not be read are not in the result and must not be registered.
     """
-    contents = read_content(spark, pdf_folder, PDF_FILES, accepted)
+    contents = read_content(spark, pdf_folder, PDF_FILES, accepted, "route")
     out = f"{target.rstrip('/')}/copy={batch_id}"
     (
-        contents.join(accepted.select("path", "route"), "path")
-        .select("route", "path", file_name(F.col("path")).alias("name"), "content")
+        contents.select("route", "path", file_name(F.col("path")).alias("name"), "content")
         .write.mode("overwrite").partitionBy("route").parquet(out)
     )
     schema = "path string, name string, content binary, route string"

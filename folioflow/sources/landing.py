@@ -30,13 +30,19 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     )
 
 
-def stream_files(spark: SparkSession, folder: str, glob: str, max_files: int = 2000) -> DataFrame:
-    """Newly landed files as a stream; each micro-batch takes at most ``max_files``, none are lost."""
+def stream_files(
+    spark: SparkSession, folder: str, glob: str, max_files: int = 2000, max_age: str = "7d"
+) -> DataFrame:
+    """Newly landed files as a stream; each micro-batch takes at most ``max_files``, none of them lost.
+
+    Files found at the start that are ``max_age`` older than the newest are left to the daily run.
+    """
     files = (
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", max_age)
         .load(folder)
     )
     return files.select(
@@ -47,8 +53,8 @@ def stream_files(spark: SparkSession, folder: str, glob: str, max_files: int = 2
     )
 
 
-def read_content(spark: SparkSession, folder: str, glob: str, wanted: DataFrame) -> DataFrame:
-    """``path, content`` of the wanted files (a listing) only.
+def read_content(spark: SparkSession, folder: str, glob: str, wanted: DataFrame, *extra: str) -> DataFrame:
+    """``path, content`` of the wanted files (a listing, paths unique), with ``extra`` columns of it.
 
     The write-time range of the wanted files is pushed into the scan, so files outside it are not
     opened. A short list is broadcast and the contents do not move; a long one is joined by path.
@@ -58,7 +64,7 @@ def read_content(spark: SparkSession, folder: str, glob: str, wanted: DataFrame)
     if bounds["a"] is not None:
         low, high = (F.lit(bounds[k]).cast("timestamp_ntz").cast("timestamp") for k in ("a", "b"))
         files = files.where((F.col("modificationTime") >= low) & (F.col("modificationTime") <= high))
-    return files.select("path", "content").join(broadcast_if_small(wanted.select("path")), "path", "left_semi")
+    return files.select("path", "content").join(broadcast_if_small(wanted.select("path", *extra)), "path")
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str, wanted: DataFrame) -> DataFrame:

@@ -35,15 +35,15 @@ def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> Stre
 
 def guides_from_pdfs(
     registry: GuideRegistry, folders: Folders, checkpoint: str, clock: Clock, name: str = "pdf",
-    max_files: int = 2000, every: str | None = None,
+    max_files: int = 2000, every: str | None = None, outcomes: str | None = None,
 ) -> StreamingQuery:
-    """Register guides as their PDFs land."""
+    """Register guides as their PDFs land; ``outcomes`` is the folder of the attempt log."""
     spark = registry.spark
 
     def batch(files: DataFrame, number: int) -> None:
         pdfs = cut_lineage(files)
         register_guides(
-            registry, pdfs, companion_records(spark, folders.txt, pdfs), clock(), f"{name}-{number}", folders
+            registry, pdfs, companion_records(spark, folders.txt, pdfs), clock(), f"{name}-{number}", folders, outcomes
         )
 
     stream = stream_files(spark, folders.pdf, PDF_FILES, max_files)
@@ -70,18 +70,17 @@ def guides_from_records(
 
 def invoices_from_files(
     registry: InvoiceRegistry, folders: Folders, checkpoint: str, clock: Clock, name: str = "xml",
-    max_files: int = 2000, every: str | None = None,
+    max_files: int = 2000, every: str | None = None, outcomes: str | None = None,
 ) -> StreamingQuery:
-    """Register invoices as their XML files land."""
+    """Register invoices as their XML files land; ``outcomes`` is the folder of the attempt log."""
     spark = registry.spark
     root = folder_root(spark, folders.xml)
 
     def batch(files: DataFrame, number: int) -> None:
         wanted = cut_lineage(non_empty(files))
         documents = read_documents(spark, folders.xml, XML_FILES, wanted)
-        register_invoices(
-            registry, documents.withColumn("name_file", relative_to(F.col("path"), root)), clock(), f"{name}-{number}"
-        )
+        documents = documents.withColumn("name_file", relative_to(F.col("path"), root))
+        register_invoices(registry, documents, clock(), f"{name}-{number}", outcomes)
 
     stream = stream_files(spark, folders.xml, XML_FILES, max_files)
     return _start(stream.writeStream.foreachBatch(batch), checkpoint, every)

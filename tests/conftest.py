@@ -7,6 +7,6 @@ from folioflow.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", "folioflow-tests")
+    session = local_session("8", "folioflow-tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()

@@ -8,10 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators.attempts import number_attempts, quarantine_rows
-from folioflow.plans.jobs import DailyRun, companion_records, register_guides
+from folioflow.functions.names import relative_to
+from folioflow.plans.jobs import (
+    DailyRun, companion_records, folder_root, quarantine, register_guides, register_invoices,
+)
 from folioflow.sinks.files import expire_log, log_entries, write_log, write_quarantine
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry
-from folioflow.sources.landing import PDF_FILES, list_files
+from folioflow.sources.landing import PDF_FILES, XML_FILES, list_files, read_documents
 from folioflow.streaming import ingest
 from tests.samples import Landing, invoice, line
 
@@ -33,10 +36,10 @@ def invoices(spark, tmp_path):
     return InvoiceRegistry(spark, str(tmp_path / "invoices"))
 
 
-def register(spark, guides, landing, batch_id="1", as_of=NOW, copies=True):
+def register(spark, guides, landing, batch_id="1", as_of=NOW):
     pdfs = list_files(spark, landing.folders.pdf, PDF_FILES)
     records = companion_records(spark, landing.folders.txt, pdfs)
-    judged = register_guides(guides, pdfs, records, as_of, batch_id, landing.folders, copies)
+    judged = register_guides(guides, pdfs, records, as_of, batch_id, landing.folders)
     return {row["path"].rsplit("/", 1)[1]: (row["status"], row["reason"]) for row in judged.collect()}
 
 
@@ -264,6 +267,21 @@ def test_quarantine_table(spark, tmp_path):
     assert quarantine_rows(numbered, enabled=False).count() == 0
 
 
+def test_files_that_keep_failing_end_in_quarantine(spark, landing, invoices, tmp_path):
+    log, store = str(tmp_path / "log"), str(tmp_path / "store")
+    landing.put("xml", "good.xml", invoice())
+    landing.put("xml", "bad.xml", "<x")
+    root = folder_root(spark, landing.folders.xml)
+    for day in range(4):
+        listed = list_files(spark, landing.folders.xml, XML_FILES)
+        documents = read_documents(spark, landing.folders.xml, XML_FILES, listed)
+        documents = documents.withColumn("name_file", relative_to(F.col("path"), root))
+        register_invoices(invoices, documents, NOW + dt.timedelta(days=day), str(day), log)
+    (row,) = quarantine(spark, log, store, "q1").collect()
+    assert (row["stored_as"], row["attempts"], row["day"]) == ("bad.xml", 3, dt.date(2026, 4, 10))
+    assert spark.read.parquet(f"{store}/batch=q1").count() == 1
+
+
 def test_log_retention(spark, tmp_path):
     days = [dt.datetime(2026, 4, d, 12) for d in (1, 2, 8)]
     events = spark.createDataFrame(
