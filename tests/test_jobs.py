@@ -60,32 +60,33 @@ def test_happy_path(spark, guides, landing):
     ]
 
 
-@pytest.mark.parametrize(
-    ("fields", "route", "state"),
-    [
-        ({"motive": "1"}, "dirPDFs", "LI"),
-        ({"motive": "3", "serie": "T004"}, "dirHpmps", "LI"),
-        ({"motive": "99", "serie": "T004", "postal": "990101"}, "dirPDFs", "99"),
-        ({"motive": "03", "postal": "0101"}, "dirEcommerce", "AM"),
-    ],
-)
-def test_routes_and_states(spark, guides, landing, fields, route, state):
-    landing.guide(**fields)
+def test_routes_and_states(spark, guides, landing):
+    wanted = {}
+    for number, fields, route, state in (
+        ("0000001", {"motive": "1"}, "dirPDFs", "LI"),
+        ("0000002", {"motive": "3", "serie": "T004"}, "dirHpmps", "LI"),
+        ("0000003", {"motive": "99", "serie": "T004", "postal": "990101"}, "dirPDFs", "99"),
+        ("0000004", {"motive": "03", "postal": "0101"}, "dirEcommerce", "AM"),
+    ):
+        path = landing.guide(number, **fields)
+        wanted[number] = (path.rsplit("/", 1)[1], route, state)
     register(spark, guides, landing)
-    assert spark.read.parquet(landing.folders.routed).first()["route"] == route
-    assert guides.read().first()["stateCode"] == state
-
-
-@pytest.mark.parametrize(
-    ("fields", "reason"),
-    [
-        ({"motive": "X"}, "bad_motive"), ({"postal": "XX"}, "bad_postal_code"), ({"postal": "1"}, "bad_postal_code"),
-        ({"date": "soon"}, "bad_transfer_date"),
-    ],
-)
-def test_rejected_guides_leave_nothing(spark, guides, landing, fields, reason):
-    landing.guide(**fields)
-    assert list(register(spark, guides, landing).values()) == [("skipped", reason)]
+    copied = {r["name"]: r["route"] for r in spark.read.parquet(landing.folders.routed).collect()}
+    states = {name[-7:]: row["stateCode"] for name, row in table(guides).items()}
+    assert {n: (name, copied[name], states[n]) for n, (name, _, _) in wanted.items()} == wanted
+
+
+def test_rejected_guides_leave_nothing(spark, guides, landing):
+    wanted = {}
+    for number, fields, reason in (
+        ("0000001", {"motive": "X"}, "bad_motive"),
+        ("0000002", {"postal": "XX"}, "bad_postal_code"),
+        ("0000003", {"postal": "1"}, "bad_postal_code"),
+        ("0000004", {"date": "soon"}, "bad_transfer_date"),
+    ):
+        path = landing.guide(number, **fields)
+        wanted[path.rsplit("/", 1)[1]] = ("skipped", reason)
+    assert register(spark, guides, landing) == wanted
     assert guides.read().count() == 0
 
 
