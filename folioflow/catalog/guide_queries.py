@@ -12,6 +12,7 @@ from folioflow.catalog.listing_queries import sql_time, text_time
 from folioflow.functions.names import file_name
 from folioflow.functions.records import index_records, labelled_value, missing_attributes, missing_labels, attribute
 from folioflow.functions.text import fold_case
+from folioflow.functions.times import moment
 from folioflow.operators import guides, reconcile
 from folioflow.operators.listing import non_empty, with_effective_time
 from folioflow.schemas import ATTRIBUTE_KEYS, DESCRIPTION_LABELS
@@ -144,7 +145,7 @@ def superseded_guides(spark: SparkSession, folder: str) -> DataFrame:
 def registry_after_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The guide table a batch leaves behind: old rows, some voided now, plus the new ones."""
     accepted = guides.supersede_within(_accepted(spark, folder))
-    now = F.lit(AS_OF).cast("timestamp_ntz")
+    now = moment(AS_OF)
     registered = syn.registered_guides(syn.orders(spark, folder))
     hit = accepted.select("delivery").distinct().withColumn("hit", F.lit(True))
     old = registered.join(hit, "delivery", "left").select(

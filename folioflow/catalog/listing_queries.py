@@ -18,8 +18,9 @@ DAY = dt.date(1998, 3, 15)
 AS_OF = dt.datetime(2001, 8, 1, 12, 0, 0)
 
 
-def text_time(ts: Column | str) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+def text_time(ts: str) -> Column:
+    """Whole seconds as text; formatting would go through the session's time zone."""
+    return F.col(ts).cast("timestamp_ntz").cast("string")
 
 
 def sql_time(column: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.names import file_name
 from folioflow.functions.text import fold_case
+from folioflow.functions.times import moment
 from folioflow.operators.skew import in_blocks, mark_winner, run_length
 
 DEFAULT_MAX_ATTEMPTS = 3
@@ -18,7 +19,7 @@ def attempt_rows(judged: DataFrame, batch_id: str, as_of: dt.datetime) -> DataFr
     """Outcomes of a job run as attempts; skipped files count as handled."""
     return judged.select(
         "path",
-        F.lit(as_of).cast("timestamp_ntz").alias("ts"),
+        moment(as_of).alias("ts"),
         F.concat(F.lit(f"{batch_id}/"), F.col("path")).alias("attempt_id"),
         (F.col("status") != "failed").alias("success"),
         F.col("reason").alias("error"),

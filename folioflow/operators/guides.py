@@ -11,6 +11,7 @@ from folioflow.functions.names import companion_of_pdf, file_name, guide_key_fro
 from folioflow.functions.numbers import loose_timestamp, whole_number
 from folioflow.functions.records import attribute, index_records, labelled_value, missing_attributes, missing_labels
 from folioflow.functions.text import fold_case, is_blank
+from folioflow.functions.times import moment
 from folioflow.operators.reconcile import mark_registered
 from folioflow.operators.skew import keep_first, mark_winner, spread_nulls
 from folioflow.schemas import (
@@ -157,7 +158,7 @@ def superseded(registered: DataFrame, accepted: DataFrame) -> DataFrame:
 
 def guide_rows(accepted: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Rows of the guide table for accepted guides marked with ``is_current``."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = moment(as_of)
     voided = ~F.col("is_current")
     none = {
         "statusBee": "string", "substatusBee": "string", "delivered_in_clientBee": "boolean",

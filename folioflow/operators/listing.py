@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import fold_case
+from folioflow.functions.times import moment
 from folioflow.operators.skew import keep_first
 
 DEFAULT_MAX_FILES = 10_000
@@ -66,7 +67,7 @@ def backlog(
     """
     recent = listing
     if max_age > dt.timedelta(0):
-        recent = recent.where(F.col("modificationTime") >= F.lit(as_of - max_age))
+        recent = recent.where(F.col("modificationTime") >= moment(as_of - max_age))
     if max_files <= 0:
         return recent
     only_written = recent.withColumn("_created", F.col("creation_time")).withColumn(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import fold_case
+from folioflow.functions.times import moment
 from folioflow.operators.guides import superseded
 from folioflow.operators.invoices import header_rows, line_rows
 from folioflow.operators.skew import keep_first
@@ -55,8 +56,7 @@ class GuideRegistry(Ledger):
         row_id = F.concat(F.lit(f"{partition_name(batch_id)}/"), fold_case(F.col("greName")))
         self.write("guides", batch_id, rows.withColumn("row_id", row_id))
         added = self.spark.read.schema(self.tables["guides"]).parquet(self._directory("guides", batch_id))
-        now = F.lit(as_of).cast("timestamp_ntz")
-        voids = superseded(self.read_rows(), added).select("row_id", now.alias("voided_at"))
+        voids = superseded(self.read_rows(), added).select("row_id", moment(as_of).alias("voided_at"))
         self.write("voids", batch_id, voids)
         self.commit(batch_id, as_of)
         return True

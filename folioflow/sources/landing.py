@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.functions.times import moment
 from folioflow.operators.skew import broadcast_if_small
 
 # Globs are case-sensitive; file names on the landing share are not.
@@ -62,7 +65,9 @@ def read_content(spark: SparkSession, folder: str, glob: str, wanted: DataFrame,
     bounds = wanted.agg(F.min("modificationTime").alias("a"), F.max("modificationTime").alias("b")).first()
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
     if bounds["a"] is not None:
-        low, high = (F.lit(bounds[k]).cast("timestamp_ntz").cast("timestamp") for k in ("a", "b"))
+        # A day wider on both ends: local times that occur twice would otherwise cut files off.
+        day = dt.timedelta(days=1)
+        low, high = (moment(t).cast("timestamp") for t in (bounds["a"] - day, bounds["b"] + day))
         files = files.where((F.col("modificationTime") >= low) & (F.col("modificationTime") <= high))
     return files.select("path", "content").join(broadcast_if_small(wanted.select("path", *extra)), "path")
 
