@@ -15,6 +15,7 @@ from folioflow.functions.text import fold_case
 from folioflow.functions.times import moment
 from folioflow.operators import guides, reconcile
 from folioflow.operators.listing import non_empty, with_effective_time
+from folioflow.session import cut_lineage
 from folioflow.schemas import ATTRIBUTE_KEYS, DESCRIPTION_LABELS
 
 AS_OF = dt.datetime(2002, 1, 1, 8, 0, 0)
@@ -32,7 +33,8 @@ def _judged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _accepted(spark: SparkSession, folder: str) -> DataFrame:
-    return guides.first_of_each_guide(_judged(spark, folder).where(F.col("status") == "accepted"))
+    """Accepted guides once each. Judged guides are written first, as the job does: later steps use them twice."""
+    return guides.first_of_each_guide(cut_lineage(_judged(spark, folder)).where(F.col("status") == "accepted"))
 
 
 def record_attributes(spark: SparkSession, folder: str) -> DataFrame:
