@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import is_blank
+from folioflow.functions.text import bind, is_blank
 
 
 def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"[^/\\]*\z", 0)
+    return F.substring_index(F.replace(path, F.lit("\\"), F.lit("/")), "/", -1)
 
 
 def _pdf_parts(name: Column) -> Column:
@@ -31,20 +31,23 @@ def guide_name(serie: Column, correlative: Column) -> Column:
 
 def guide_key_from_pdf(name: Column) -> Column:
     """Guide key spelled by a PDF name, null when the name does not carry one."""
-    parts = _pdf_parts(name)
-    return F.when(_well_formed(parts), guide_name(F.get(parts, F.lit(2)), _correlative(parts)))
+    return bind(
+        _pdf_parts(name),
+        lambda parts: F.when(_well_formed(parts), guide_name(F.get(parts, F.lit(2)), _correlative(parts))),
+    )
 
 
 def companion_of_pdf(name: Column) -> Column:
     """Name of the text record that belongs to a PDF, null when the PDF name is malformed."""
-    parts = _pdf_parts(name)
-    return F.when(
-        _well_formed(parts),
-        F.concat(
-            F.get(parts, F.lit(0)), F.lit("-"), F.get(parts, F.lit(2)), F.lit("-"), _correlative(parts),
-            F.lit(".txt"),
-        ),
-    )
+
+    def companion(parts: Column) -> Column:
+        issuer, serie = F.get(parts, F.lit(0)), F.get(parts, F.lit(2))
+        return F.when(
+            _well_formed(parts),
+            F.concat(issuer, F.lit("-"), serie, F.lit("-"), _correlative(parts), F.lit(".txt")),
+        )
+
+    return bind(_pdf_parts(name), companion)
 
 
 def _stem_parts(txt_name: Column) -> Column:
