@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import line_quality, simhash
+from folioflow.llm import line_quality, mixing, packing, secrets, simhash
 from folioflow.llm.common import table
 from folioflow.llm.sql import ORACLE
 
@@ -22,9 +23,26 @@ def op3_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_pareto_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op7_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.found(table(spark, sf_dir, "documents")))
+
+
+def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
     "op3_covering_simhash": op3_covering_simhash,
+    "op4_pareto_mixture": op4_pareto_mixture,
+    "op7_randomness_battery": op7_randomness_battery,
+    "op10_residual_packing": op10_residual_packing,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -49,3 +49,53 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and 100 * (n_words - n_removed) >= 30 * n_words as kept, n_removed
 from judged
 """
+
+#: Levels by filling the sources in the order of limit / weight, then documents in Pareto order.
+ORACLE["op4_pareto_mixture"] = r"""
+with docs as (
+  select doc_id, source, coalesce(text, '') as text,
+    len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::bigint as size
+  from documents
+), each as (
+  select source, sum(size)::bigint as source_size,
+    [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight
+  from docs group by source
+), limited as (
+  select *, 2 * source_size as most, (2 * source_size)::double / weight as ratio from each
+), levelled as (
+  select *, (1.5::double * sum(source_size) over () - coalesce(sum(most) over before, 0)::double)
+    / (sum(weight) over () - coalesce(sum(weight) over before, 0))::double as level
+  from limited window before as (order by ratio, source nulls last rows between unbounded preceding and 1 preceding)
+), level as (
+  select min_by(level, ratio) as level from levelled where ratio > level
+), targets as (
+  select source, source_size,
+    case when l.level is null or ratio <= l.level then most::double else l.level * weight end as target
+  from limited cross join level l
+), rated as (
+  select *, case when source_size > 0 then target / source_size::double else 0.0::double end as rate from targets
+), rates as (
+  select *, floor(rate)::bigint as whole, rate - floor(rate) as part,
+    target - (floor(rate)::bigint * source_size)::double as rest from rated
+), drawn as (
+  select d.doc_id, d.source, size, source_size, target, whole, part, rest,
+    md5(text) as t,
+    (('0x' || substr(md5('11:' || coalesce(doc_id::varchar, '') || ':' || md5(text)), 1, 12))::bigint::double + 0.5) / 281474976710656::double as u
+  from docs d join rates r on d.source is not distinct from r.source
+), ranked as (
+  select *, case when part > 0 then o / (1 + o) end as z
+  from (select *, case when part > 0 then (u / (1 - u)) / (part / (1 - part)) end as o from drawn)
+), summed as (
+  select *, case when part > 0 then sum(size) over (partition by source order by z, coalesce(doc_id, -1), t
+    range between unbounded preceding and current row) end as upto from ranked
+), chosen as (
+  select *, coalesce(part > 0 and upto <= rest, false) as taken,
+    rest - coalesce(max(case when upto <= rest then upto end) over (partition by source), 0)::double as gap from summed
+), closing as (
+  select source, min(row(abs(size - gap), z, coalesce(doc_id, -1), t)) as c from chosen
+  where part > 0 and not taken and abs(size - gap) < gap group by source
+)
+select doc_id, size, source_size, target,
+  size * (whole + (taken or coalesce(row(z, coalesce(doc_id, -1), t) = row(struct_extract_at(c, 2), struct_extract_at(c, 3), struct_extract_at(c, 4)), false))::int)::bigint as taken
+from chosen left join closing on chosen.source is not distinct from closing.source
+"""
