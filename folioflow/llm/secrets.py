@@ -251,13 +251,14 @@ def redacted(docs: DataFrame, model: Model | None = None, mark: str = "[SECRET]"
             at = max(at, end)
         return "".join([*out, text[at:]])
 
-    where = docs.columns.index("text")
+    names = docs.columns
+    where = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([replaced(t) for t in batch.column(where).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [texts if k == where else c for k, c in enumerate(batch.columns)], docs.columns
+                [texts if k == where else c for k, c in enumerate(batch.columns)], names
             )
 
     changed = docs.withColumn("text", F.col("text").cast("string"))
