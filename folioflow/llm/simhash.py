@@ -87,43 +87,71 @@ def _forest(values: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
             left = left[~near]
 
 
+def _grouped(radius: int, pairwise: int):
+    """Edges inside buckets, from rows (bucket, fp) sorted by bucket; read as a stream."""
+    schema = ["bucket", "u", "v"]
+
+    def rows(bucket: list[int], u: list[int], v: list[int | None]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (bucket, u, v)], schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, full = (np.empty(0, np.int64), np.empty(0, np.int64)), None
+        for batch in batches:
+            keys = np.concatenate([held[0], batch.column(0).to_numpy()])
+            fps = np.concatenate([held[1], batch.column(1).to_numpy()])
+            if not len(keys):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            ends = np.concatenate([starts[1:], [len(keys)]])
+            edges: list[tuple[int, int, int | None]] = []
+            for a, b in zip(starts[:-1], ends[:-1]):
+                if full == keys[a] or b - a > pairwise:
+                    edges += [(int(keys[a]), int(f), None) for f in fps[a:b]]
+                elif b - a > 1:
+                    edges += [(int(keys[a]), x, y) for x, y in _forest(fps[a:b], radius)]
+            last = int(starts[-1])
+            held = keys[last:], fps[last:]
+            if full == keys[last] or len(keys) - last > pairwise:
+                # Too full to be compared here: its members are handed on as they come.
+                full = int(keys[last])
+                edges += [(full, int(f), None) for f in held[1]]
+                held = np.empty(0, np.int64), np.empty(0, np.int64)
+            else:
+                full = None
+            yield rows(*([list(x) for x in zip(*edges)] or [[], [], []]))
+        if len(held[0]) > 1:
+            edges = [(int(held[0][0]), x, y) for x, y in _forest(held[1], radius)]
+            yield rows(*([list(x) for x in zip(*edges)] or [[], [], []]))
+
+    return run
+
+
 def links(different: DataFrame, radius: int = 4, pairwise: int = PAIRWISE) -> DataFrame:
     """Edges ``u``, ``v`` between fingerprints, enough to connect all that differ in ``radius`` bits or fewer.
 
-    ``different`` holds each fingerprint once. Buckets of two are checked as they are; buckets of up
-    to ``pairwise`` are one row each, of which only a spanning forest comes out. Fuller buckets go
-    the exact way of :func:`_through_midpoints`, which makes no pairs at all.
+    ``different`` holds each fingerprint once. It is shuffled once, to its bucket in each table, and
+    the buckets are read as a sorted stream. Of a bucket of up to ``pairwise`` fingerprints only a
+    spanning forest comes out. Fuller buckets go the exact way of :func:`_through_midpoints`, which
+    makes no pairs at all.
     """
-    tables = F.array(
-        *[
-            F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
-            for t, m in enumerate(covering_masks(radius))
-        ]
+    found = staged(
+        different.select("fp", F.explode(F.array(*_buckets(radius))).alias("bucket"))
+        .select("bucket", "fp")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_grouped(radius, pairwise), "bucket long, u long, v long"),
+        "links",
     )
-    keyed = different.select("fp", F.explode(tables).alias("b")).select("fp", "b.t", "b.key")
-    buckets = staged(
-        keyed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1"),
-        "buckets",
-    )
-    pairs = buckets.where("n = 2").where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius).select("u", "v")
+    members = found.where("v is null").select("bucket", F.col("u").alias("fp"))
+    return found.where("v is not null").select("u", "v").unionByName(_through_midpoints(members, radius)).distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            edges = [e for row in batch.column(0) for e in _forest(np.array(row.as_py(), dtype=np.int64), radius)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["u", "v"]
-            )
-
-    fuller = buckets.where("n > 2").select("t", "key", "n")
-    members = keyed.join(fuller, ["t", "key"])
-    inside = (
-        members.where(F.col("n") <= pairwise)
-        .groupBy("t", "key")
-        .agg(F.collect_list("fp").alias("fps"))
-        .select("fps")
-        .mapInArrow(run, "u long, v long")
-    )
-    return pairs.unionByName(inside).unionByName(_through_midpoints(members.where(F.col("n") > pairwise), radius)).distinct()
+
+def _buckets(radius: int) -> list:
+    """The bucket of a fingerprint in each table, as one number. Should two buckets share a number,
+    they are only compared in vain."""
+    return [
+        F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(covering_masks(radius))
+    ]
 
 
 def _through_midpoints(members: DataFrame, radius: int) -> DataFrame:
@@ -137,21 +165,24 @@ def _through_midpoints(members: DataFrame, radius: int) -> DataFrame:
     if radius not in (2, 4):
         raise ValueError("midpoints exist for radius 2 and 4")
     half = radius // 2
-    bits = F.array(*[F.lit(_signed(1 << b)) for b in range(BITS)])
-    masks = F.array(*[F.lit(_signed(m)) for m in covering_masks(radius)])
-    free = F.filter(bits, lambda b: b.bitwiseAND(F.get(masks, F.col("t"))) == 0)
+    free = F.array(
+        *[F.array(*[F.lit(_signed(1 << b)) for b in range(BITS) if not m >> b & 1]) for m in covering_masks(radius)]
+    )
     near = F.concat(F.array(F.lit(0).cast("long")), F.col("free"))
     if half == 2:
         near = F.array_distinct(F.flatten(F.transform(near, lambda a: F.transform(near, lambda b: a.bitwiseXOR(b)))))
+    tables = F.filter(
+        F.transform(F.array(*_buckets(radius)), lambda b, t: F.when(b == F.col("bucket"), t)), lambda t: t.isNotNull()
+    )
     named = (
-        members.withColumn("free", free)
-        .select("fp", "t", "key", F.explode(near).alias("flip"))
+        members.select("fp", F.explode(tables).alias("t"))
+        .withColumn("free", F.get(free, F.col("t")))
+        .select("fp", F.explode(near).alias("flip"))
         .select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("z"))
         .distinct()
     )
     least = named.groupBy("z").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").select("z", "v")
-    found = named.join(least, "z").where("fp <> v").select(F.col("fp").alias("u"), "v")
-    return found.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2 * half)
+    return named.join(least, "z").where("fp <> v").select(F.col("fp").alias("u"), "v")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
