@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import line_quality, mixing, packing, secrets, simhash
+from folioflow.llm import line_quality, mixing, neighbours, packing, secrets, simhash, toxicity
 from folioflow.llm.common import table
 from folioflow.llm.sql import ORACLE
 
@@ -27,10 +27,18 @@ def op4_pareto_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op6_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.found(table(spark, sf_dir, "documents")))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
@@ -41,7 +49,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
     "op3_covering_simhash": op3_covering_simhash,
     "op4_pareto_mixture": op4_pareto_mixture,
+    "op6_neighbour_vote": op6_neighbour_vote,
     "op7_randomness_battery": op7_randomness_battery,
+    "op8_kneser_ney": op8_kneser_ney,
     "op10_residual_packing": op10_residual_packing,
 }
 
