@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import line_quality, mixing, neighbours, packing, secrets, simhash, toxicity
+from folioflow.llm import chat, line_quality, mixing, neighbours, packing, secrets, simhash, toxicity
 from folioflow.llm.common import table
 from folioflow.llm.sql import ORACLE
 
@@ -39,6 +39,10 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_neighbour_vote": op6_neighbour_vote,
     "op7_randomness_battery": op7_randomness_battery,
     "op8_kneser_ney": op8_kneser_ney,
+    "op9_perspective_rotation": op9_perspective_rotation,
     "op10_residual_packing": op10_residual_packing,
 }
 

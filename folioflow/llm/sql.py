@@ -99,3 +99,30 @@ select doc_id, size, source_size, target,
   size * (whole + (taken or coalesce(row(z, coalesce(doc_id, -1), t) = row(struct_extract_at(c, 2), struct_extract_at(c, 3), struct_extract_at(c, 4)), false))::int)::bigint as taken
 from chosen left join closing on chosen.source is not distinct from closing.source
 """
+
+#: Parts of 64 turns, each rendered once for every speaker.
+ORACLE["op9_perspective_rotation"] = r"""
+with rows as (
+  select conv_id, role, coalesce(replace(text, '<|', '< |'), '') as said,
+    row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) - 1 as place
+  from conversations
+), speakers as (
+  select distinct conv_id, role as speaker from rows where role is not null and role not in ('', 'system')
+), rendered as (
+  select r.conv_id, speaker, (place // 64)::integer as part, place, coalesce(role = speaker, false) as own,
+    case when role = speaker then '<|assistant|>' || chr(10)
+      when role = 'system' then '<|system|>' || chr(10)
+      when role is null or role = '' then '<|user|>' || chr(10)
+      else '<|user name=' || replace(role, '<|', '< |') || '|>' || chr(10) end as head,
+    said || '<|end|>' as body
+  from rows r join speakers s on r.conv_id is not distinct from s.conv_id
+), placed as (
+  select *, sum(length(head) + length(body) + 1) over (partition by conv_id, speaker, part order by place) - length(body) - 1 as start
+  from rendered
+)
+select conv_id, speaker, part, count(*)::integer as n_turns,
+  string_agg(head || body || chr(10), '' order by place) as text,
+  coalesce(string_agg(start::bigint || ':' || (start + length(body))::bigint, ',' order by place) filter (where own), '') as mask,
+  coalesce(sum(length(body)) filter (where own), 0)::integer as trained_chars
+from placed group by conv_id, speaker, part
+"""
