@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import chat, line_quality, mixing, neighbours, packing, secrets, simhash, toxicity
+from folioflow.llm import chat, line_quality, mixing, neighbours, packing, pii, secrets, simhash, toxicity
 from folioflow.llm.common import table
 from folioflow.llm.sql import ORACLE
 
@@ -27,6 +27,10 @@ def op4_pareto_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op5_bootstrapped_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.found(table(spark, sf_dir, "documents")))
+
+
 def op6_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
     "op3_covering_simhash": op3_covering_simhash,
     "op4_pareto_mixture": op4_pareto_mixture,
+    "op5_bootstrapped_contexts": op5_bootstrapped_contexts,
     "op6_neighbour_vote": op6_neighbour_vote,
     "op7_randomness_battery": op7_randomness_battery,
     "op8_kneser_ney": op8_kneser_ney,
