@@ -7,11 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import chat, line_quality, mixing, neighbours, packing, pii, secrets, simhash, toxicity
+from folioflow.llm import chat, line_quality, mixing, nearest, neighbours, packing, pii, secrets, simhash, toxicity
 from folioflow.llm.common import table
 from folioflow.llm.sql import ORACLE
 
 
+def op1_multiprobe_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_quality.verdicts(table(spark, sf_dir, "documents"))
     return found.select(
@@ -54,6 +58,7 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_multiprobe_hashing": op1_multiprobe_hashing,
     "op2_line_frequency": op2_line_frequency,
     "op3_covering_simhash": op3_covering_simhash,
     "op4_pareto_mixture": op4_pareto_mixture,
