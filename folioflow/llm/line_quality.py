@@ -167,14 +167,14 @@ def cleaned(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
     keyed = with_row_key(
         docs.withColumn("_host", F.coalesce(F.col(host).cast("string"), F.lit(""))), ["doc_id", "_host", "text"]
     )
-    passed = verdicts(docs, host, **limits).where("kept").select("_a", "_b", "removed").dropDuplicates(["_a", "_b"])
+    passed = verdicts(docs, host, **limits).where("kept").select("_a", "_b", F.col("removed").alias("_cut"))
     left = F.array_join(
-        F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("removed"), line_key(x))), "\n"
+        F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_cut"), line_key(x))), "\n"
     )
-    text = F.when(F.size("removed") > 0, left).otherwise(F.col("text"))
-    out = keyed.join(passed, ["_a", "_b"]).withColumn("text", text)
+    text = F.when(F.size("_cut") > 0, left).otherwise(F.col("text"))
+    out = keyed.join(passed.dropDuplicates(["_a", "_b"]), ["_a", "_b"]).withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn(
-            "n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+            "n_chars", F.when(F.size("_cut") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
         )
     return out.select(docs.columns)

@@ -20,7 +20,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     Sources by code point, null last, get the weights in turn. ``share`` times all sizes is dealt out
     by weight; a target stops at ``MOST_COPIES`` times its source's size and what is above goes to the
     others by weight. That is the level ``l`` at which the sum of ``least(limit, l * weight)`` is the
-    whole: sources in the order of limit / weight fill up first. One row for each source passes through
+    whole: sources in the order of limit / weight fill up first; the level is that before the first
+    source that doesn't, after which the levels only fall. One row for each source passes through
     one window, no documents.
     """
     each = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
@@ -34,7 +35,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
         "level",
         (share * F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0)))
         / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))),
-    ).withColumn("level", F.min_by(F.when(F.col("ratio") > F.col("level"), F.col("level")), F.when(F.col("ratio") > F.col("level"), F.col("ratio"))).over(everything))
+    ).withColumn("level", F.max(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(everything))
     full = F.col("level").isNull() | (F.col("ratio") <= F.col("level"))
     target = F.when(full, F.col("limit").cast("double")).otherwise(F.col("level") * F.col("weight"))
     return levelled.select("source", "source_size", target.alias("target"))
@@ -146,5 +147,6 @@ def mixture(docs: DataFrame, seed: int = 11) -> DataFrame:
 def mixed(docs: DataFrame, seed: int = 11) -> DataFrame:
     """The documents of the mix, each as often as it is taken, all columns unchanged."""
     _, plan = allocation(docs, seed)
-    taken = _copies(_placed(docs, seed), plan)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies")))).where("_copy > 0").select(docs.columns)
+    placed = _placed(docs, seed).select(F.struct(*docs.columns).alias("_row"), "doc_id", "_s", "_t", "_u")
+    taken = _copies(placed, plan).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies"))))
+    return taken.where("_copy > 0").select("_row.*")

@@ -67,7 +67,7 @@ with docs as (
     / (sum(weight) over () - coalesce(sum(weight) over before, 0))::double as level
   from limited window before as (order by ratio, source nulls last rows between unbounded preceding and 1 preceding)
 ), level as (
-  select min_by(level, ratio) as level from levelled where ratio > level
+  select max(level) as level from levelled where ratio > level
 ), targets as (
   select source, source_size,
     case when l.level is null or ratio <= l.level then most::double else l.level * weight end as target
