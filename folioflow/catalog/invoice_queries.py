@@ -79,7 +79,7 @@ def amounts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parameter_values(spark: SparkSession, folder: str) -> DataFrame:
-    """Folder per (segment, nation): the smallest configured value, else the fallback."""
+    """Folder per (segment, nation): the smallest stored value, null where it is blank or missing."""
     customers, nations = syn.table(spark, folder, "customer"), syn.table(spark, folder, "nation")
     stored = customers.select(
         F.col("c_mktsegment").alias("tabla"),
@@ -89,7 +89,6 @@ def parameter_values(spark: SparkSession, folder: str) -> DataFrame:
     requests = nations.select(
         F.explode(F.array(*(F.lit(v) for v in ("building", "Machinery", "missing")))).alias("tabla"),
         F.concat(F.lit("p"), F.col("n_nationkey").cast("string")).alias("parametro"),
-        F.concat(F.lit("/configured/"), F.col("n_name")).alias("configured"),
     )
     found = parameters.with_folder(parameters.lookup(requests, stored))
     return found.select("tabla", "parametro", "valor", "folder")
@@ -173,15 +172,14 @@ with stored as (
     case when c_custkey % 4 = 0 then ' ' else '/in/' || c_name || '//' end as valor from customer
 ),
 requests as (
-  select unnest(['building', 'Machinery', 'missing']) as tabla, 'p' || n_nationkey as parametro,
-    '/configured/' || n_name as configured from nation
+  select unnest(['building', 'Machinery', 'missing']) as tabla, 'p' || n_nationkey as parametro from nation
 ),
 found as (
   select r.*, (select min(valor) from stored s where s.tabla = lower(r.tabla) and s.parametro = r.parametro) as valor
   from requests r
 )
 select tabla, parametro, valor,
-  case when coalesce(trim(valor), '') = '' then configured else rtrim(valor, '/') end as folder from found""",
+  case when coalesce(trim(valor), '') <> '' then rtrim(valor, '/') end as folder from found""",
     "recipients": """
 select c_custkey, 'b' || c_custkey || '@x.com|A' || c_custkey || '@y.com|' || c_mktsegment || '@z.com' as recipients
 from customer""",

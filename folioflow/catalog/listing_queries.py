@@ -38,7 +38,7 @@ def reconcile_guides(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reconcile_guides_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Without a file limit, and only active registered guides count."""
+    """Only active registered guides count."""
     orders = syn.orders(spark, folder)
     pending = reconcile.pending_guides(
         syn.pdf_listing(orders), syn.registered_guides(orders), max_files=None, active_only=True
@@ -152,7 +152,7 @@ xml_timed as (select *, least(mtime, ctime) as effective, substr(path, 13) as na
 ORACLE = {
     "reconcile_guides": f"""
 with {_TIMED}, {syn.REGISTERED_SQL},
-oldest as (select * from timed order by effective, path limit 10000)
+oldest as (select * from timed)
 select path, guide_key, {sql_time('effective')} as effective_time from oldest
 where guide_key is null or lower(guide_key) not in ({_KEYS})""",
     "reconcile_guides_all": f"""
@@ -166,19 +166,19 @@ where guide_key is null or lower(guide_key) not in ({_KEYS})
 order by effective, path limit 5000""",
     "reconcile_counters": f"""
 with {_TIMED}, {syn.REGISTERED_SQL},
-oldest as (select * from timed order by effective, path limit 10000),
+oldest as (select * from timed),
 marked as (select *, guide_key is not null and lower(guide_key) in ({_KEYS}) as registered from oldest)
 select count(*) as candidates, count(*) filter (registered) as already_registered,
   count(*) filter (guide_key is null) as no_key, count(*) filter (not registered) as pending
 from marked""",
     "reconcile_invoices": f"""
 with {syn.PDF_SQL}, {syn.INVOICE_LISTING_SQL} {_INVOICES},
-oldest as (select * from xml_timed order by effective, path limit 10000)
+oldest as (select * from xml_timed)
 select path, name_file, {sql_time('effective')} as effective_time from oldest where not registered""",
     "work_list": f"""
 with {_TIMED}, {syn.REGISTERED_SQL}, {syn.INVOICE_LISTING_SQL} {_INVOICES},
-g as (select * from timed order by effective, path limit 10000),
-i as (select * from xml_timed order by effective, path limit 10000)
+g as (select * from timed),
+i as (select * from xml_timed)
 select source, strftime(effective, '%Y-%m-%d') as day, count(*) as files from (
   select 'guide' as source, effective from g where guide_key is null or lower(guide_key) not in ({_KEYS})
   union all

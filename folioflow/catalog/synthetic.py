@@ -143,14 +143,14 @@ def text_records(orders: DataFrame) -> DataFrame:
         F.when(~_every(k, 9), F.concat(F.lit("Nota de Venta SAP 71"), k.cast("string"))),
         shipped,
         F.concat(F.lit("Factura Sistema 99"), k.cast("string")),
-        F.lit("Ruta G00STD"), F.lit("  "),
-        F.concat(F.lit("Documento Ref F007-"), _digits(k, 7), F.lit(" ")),
+        F.lit("Ruta R17NORTE"), F.lit("  "),
+        F.concat(F.lit("Documento Ref F113-"), _digits(k, 7), F.lit(" ")),
     )
     lines = F.array_compact(
         F.array(
             F.concat(F.lit("A;Serie;1;"), F.when(_every(k, 61), " ").otherwise(_serie(k))),
             F.concat(F.lit("A;Correlativo;1;"), _digits(number, 7)),
-            F.lit("A;RznSocEmis;1;ACME; S.A.C. "),
+            F.lit("A;RznSocEmis;1;NORTHERN; S.A.C. "),
             F.lit(""),
             F.lit("A;Serie;2;REPEATED"),
             F.lit("B;RUCTransporExtra;1;EXTRA"),
@@ -181,7 +181,7 @@ txt as (
     case when k % 13 = 0 then '' else array_to_string(list_filter([
       'A;Serie;1;' || case when k % 61 = 0 then ' ' else serie end,
       'A;Correlativo;1;' || lpad((case when k % 23 = 0 then k + 60 else k end)::varchar, 7, '0'),
-      'A;RznSocEmis;1;ACME; S.A.C. ',
+      'A;RznSocEmis;1;NORTHERN; S.A.C. ',
       '',
       'A;Serie;2;REPEATED',
       'B;RUCTransporExtra;1;EXTRA',
@@ -200,8 +200,8 @@ txt as (
         case when k % 9 <> 0 then 'Nota de Venta SAP 71' || k::varchar end,
         case when o_custkey % 10 <> 0 then 'Documento Despacho 81' || lpad(o_custkey::varchar, 8, '0') end,
         'Factura Sistema 99' || k::varchar,
-        'Ruta G00STD', '  ',
-        'Documento Ref F007-' || lpad(k::varchar, 7, '0') || ' '
+        'Ruta R17NORTE', '  ',
+        'Documento Ref F113-' || lpad(k::varchar, 7, '0') || ' '
       ], lambda x: x is not null), '  |  '),
       'E;DescripcionAdicsunat;2;Orden de Compra Cliente IGNORED  |  Factura Sistema IGNORED'
     ], lambda x: x is not null), chr(13) || chr(10)) end as value
@@ -245,7 +245,7 @@ pieces as (
 def invoice_listing(orders: DataFrame) -> DataFrame:
     k = F.col("k")
     return orders.select(
-        F.concat(F.lit("/landing/xml/01_NPG_F007_"), _digits(k, 12), F.lit(".xml")).alias("path"),
+        F.concat(F.lit("/landing/xml/01_INV_F113_"), _digits(k, 12), F.lit(".xml")).alias("path"),
         _plus(F.col("o_orderdate"), k * 3 % 86400).alias("modificationTime"),
         _plus(F.col("o_orderdate"), k * 5 % 86400).alias("creation_time"),
         (500 + k % 900).alias("length"),
@@ -254,13 +254,13 @@ def invoice_listing(orders: DataFrame) -> DataFrame:
 
 def registered_invoices(orders: DataFrame) -> DataFrame:
     """Invoice files registered before: orders with status F, names in upper case."""
-    name = F.concat(F.lit("/01_NPG_F007_"), _digits(F.col("k"), 12), F.lit(".xml"))
+    name = F.concat(F.lit("/01_INV_F113_"), _digits(F.col("k"), 12), F.lit(".xml"))
     return orders.where(F.col("o_orderstatus") == "F").select(F.upper(name).alias("NameFile"))
 
 
 INVOICE_LISTING_SQL = """
 xml_files as (
-  select k, '/landing/xml/01_NPG_F007_' || lpad(k::varchar, 12, '0') || '.xml' as path,
+  select k, '/landing/xml/01_INV_F113_' || lpad(k::varchar, 12, '0') || '.xml' as path,
     o_orderdate + to_seconds(k * 3 % 86400) as mtime, o_orderdate + to_seconds(k * 5 % 86400) as ctime,
     o_orderstatus = 'F' as registered
   from o
@@ -293,8 +293,8 @@ def invoice_documents(orders: DataFrame) -> DataFrame:
     )
     text = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<ns0:Invoice xmlns:ns0="urn:invoice">\n<ns0:invoiceDetail>'),
-        tag("invoiceDate", day), tag("paymentIssueTime", "11:21:58.0000"), F.lit("<ns0:salesOrderReason/>"),
-        tag("documentType", pick(["01", "07", "08", "03"], k)), tag("docNumber", "F007"),
+        tag("invoiceDate", day), tag("paymentIssueTime", "08:45:12.0000"), F.lit("<ns0:salesOrderReason/>"),
+        tag("documentType", pick(["01", "07", "08", "03"], k)), tag("docNumber", "F113"),
         F.when(_every(k, 6), tag("sequentialNumber", _digits(k, 8))).otherwise(tag("sequentilaNumber", _digits(k, 8))),
         tag("paymentDueDate", day), tag("referenceDocNumber", "REF-", k.cast("string")),
         F.lit("<ns0:billToDetails>\n  "), tag("customerTVAT", "20", _digits(customer, 9)),
@@ -302,7 +302,7 @@ def invoice_documents(orders: DataFrame) -> DataFrame:
         F.lit("\n</ns0:billToDetails>"),
         tag("orderNumber", "71", k.cast("string")), tag("customerOrderNumber", "32", k.cast("string")),
         tag("SAPBillingDocumentNumber", "99", k.cast("string")),
-        tag("paymentMethod", F.when(_every(k, 5), " ").otherwise("30 días")),
+        tag("paymentMethod", F.when(_every(k, 5), " ").otherwise("45 días")),
         tag("salesMan", (k % 100).cast("string")),
         F.when(_every(k, 3), "").otherwise(tag("soldToEmailId", "c", customer.cast("string"), "@example.com")),
         tag("currencyCode", "PEN"), tag("currencyCode", "USD"),
@@ -312,7 +312,7 @@ def invoice_documents(orders: DataFrame) -> DataFrame:
         F.array_join(line, ""),
         F.when(_every(k, 97), "</ns0:broken>").otherwise("</ns0:invoiceDetail>"), F.lit("\n</ns0:Invoice>"),
     )
-    name = F.concat(F.lit("/01_NPG_F007_"), _digits(k, 12), F.lit(".xml"))
+    name = F.concat(F.lit("/01_INV_F113_"), _digits(k, 12), F.lit(".xml"))
     return orders.select(
         k.alias("invoice_id"), F.concat(F.lit("/landing/xml"), name).alias("path"), name.alias("name_file"),
         text.alias("value"),
@@ -323,11 +323,11 @@ def invoice_documents(orders: DataFrame) -> DataFrame:
 INVOICE_SQL = r"""
 o as (select *, o_orderkey as k from orders),
 invoice as (
-  select k as invoice_id, '/01_NPG_F007_' || lpad(k::varchar, 12, '0') || '.xml' as name_file,
+  select k as invoice_id, '/01_INV_F113_' || lpad(k::varchar, 12, '0') || '.xml' as name_file,
     '<ns0:invoiceDetail><ns0:invoiceDate>' || strftime(o_orderdate, '%Y-%m-%d') || '</ns0:invoiceDate>'
-    || '<ns0:paymentIssueTime>11:21:58.0000</ns0:paymentIssueTime><ns0:salesOrderReason/>'
+    || '<ns0:paymentIssueTime>08:45:12.0000</ns0:paymentIssueTime><ns0:salesOrderReason/>'
     || '<ns0:documentType>' || ['01', '07', '08', '03'][(k % 4)::integer + 1] || '</ns0:documentType>'
-    || '<ns0:docNumber>F007</ns0:docNumber>'
+    || '<ns0:docNumber>F113</ns0:docNumber>'
     || case when k % 6 = 0 then '<ns0:sequentialNumber>' || lpad(k::varchar, 8, '0') || '</ns0:sequentialNumber>'
        else '<ns0:sequentilaNumber>' || lpad(k::varchar, 8, '0') || '</ns0:sequentilaNumber>' end
     || '<ns0:paymentDueDate>' || strftime(o_orderdate, '%Y-%m-%d') || '</ns0:paymentDueDate>'
@@ -338,7 +338,7 @@ invoice as (
     || '<ns0:orderNumber>71' || k::varchar || '</ns0:orderNumber>'
     || '<ns0:customerOrderNumber>32' || k::varchar || '</ns0:customerOrderNumber>'
     || '<ns0:SAPBillingDocumentNumber>99' || k::varchar || '</ns0:SAPBillingDocumentNumber>'
-    || '<ns0:paymentMethod>' || case when k % 5 = 0 then ' ' else '30 días' end || '</ns0:paymentMethod>'
+    || '<ns0:paymentMethod>' || case when k % 5 = 0 then ' ' else '45 días' end || '</ns0:paymentMethod>'
     || '<ns0:salesMan>' || (k % 100)::varchar || '</ns0:salesMan>'
     || case when k % 3 = 0 then '' else '<ns0:soldToEmailId>c' || o_custkey::varchar || '@example.com</ns0:soldToEmailId>' end
     || '<ns0:currencyCode>PEN</ns0:currencyCode><ns0:currencyCode>USD</ns0:currencyCode>'

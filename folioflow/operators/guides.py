@@ -29,9 +29,8 @@ def with_names(pdfs: DataFrame) -> DataFrame:
 def join_records(pdfs: DataFrame, records: DataFrame) -> DataFrame:
     """Each PDF with its text record, ``text`` null when there is none.
 
-    ``records`` holds ``path`` and ``value`` of non-empty files. Names are compared without case,
-    and a folder holds a name once, so the right side is unique. Malformed PDF names keep out of
-    the join's way.
+    ``records`` holds ``path`` and ``value`` of non-empty files, each name (without case) once, as
+    ``companion_records`` gives them. Malformed PDF names keep out of the join's way.
     """
     texts = records.select(fold_case(file_name(F.col("path"))).alias("_txt"), F.col("value").alias("text"))
     key = spread_nulls(fold_case(F.col("companion")), F.col("path"))
@@ -87,7 +86,7 @@ def decode_state(df: DataFrame, code: str = "city", out: str = "state_code") ->
 def route(motive: Column, serie: Column) -> Column:
     """Folder a guide's PDF goes to."""
     return (
-        F.when(motive != THIRD_PARTY_SALE, ROUTE_DEFAULT)
+        F.when(motive.isNull() | (motive != THIRD_PARTY_SALE), ROUTE_DEFAULT)
         .when(serie == "T004", ROUTE_SERIE_T004)
         .otherwise(ROUTE_THIRD_PARTY)
     )

@@ -145,7 +145,7 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         lines, errors = [], []
         for text in batch.column("xml").to_pylist():
             try:
-                found, stock = flatten_document(text)
+                found, stock = flatten_document(text or "")
                 errors.append(None)
             except (ElementTree.ParseError, expat.ExpatError, ValueError) as error:
                 found, stock = {}, []
@@ -168,7 +168,7 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def parse_documents(documents: DataFrame, text: str = "value", keep: tuple[str, ...] = ("path",)) -> DataFrame:
     """Parse whole XML documents in Arrow batches: one text column per tag, ``lines``, ``xml_error``.
 
-    A missing tag is an empty string. A malformed document becomes a row with an error, it does
+    A missing tag is an empty string. A malformed, empty or null document becomes a row with an error, it does
     not stop the job.
     """
     source = documents.select(*keep, clean_document(F.col(text)).alias("xml"))

@@ -11,10 +11,6 @@ from folioflow.functions.text import fold_case
 from folioflow.functions.times import moment
 from folioflow.operators.skew import keep_first
 
-DEFAULT_MAX_FILES = 10_000
-LARGEST_MAX_FILES = 1_000_000
-
-
 def non_empty(listing: DataFrame) -> DataFrame:
     return listing.where(F.col("length") > 0)
 
@@ -35,17 +31,18 @@ def with_effective_time(listing: DataFrame) -> DataFrame:
     return listing.withColumn("effective_time", effective_time())
 
 
-def oldest_first(listing: DataFrame, limit: int | None = DEFAULT_MAX_FILES) -> DataFrame:
-    """The ``limit`` oldest files by (effective time, path); files without a time come last.
+def oldest_first(listing: DataFrame, limit: int | None = None) -> DataFrame:
+    """Files by (effective time, path), those without a time last; with ``limit`` only the oldest so many.
 
-    A top-N sends up to N rows from every task to one. An hourly histogram tells first up to
-    which hour the N oldest reach, so at most N files and those of one more hour get that far.
+    An hourly histogram tells first up to which hour the N oldest reach, so at most N files and
+    those of one more hour are sorted; the N of them then pass one task.
     """
     timed = with_effective_time(listing)
     order = [F.col("effective_time").asc_nulls_last(), F.col("path").asc()]
     if limit is None:
         return timed.orderBy(*order)
-    rows = min(max(limit, 1), LARGEST_MAX_FILES)
+    if limit < 1:
+        raise ValueError("a limit is at least 1; None stands for no limit")
     # Files without a time count into the hour after all others.
     hour = F.coalesce(
         F.floor(F.unix_micros(F.col("effective_time").cast("timestamp")) / F.lit(3_600_000_000)),
@@ -54,16 +51,16 @@ def oldest_first(listing: DataFrame, limit: int | None = DEFAULT_MAX_FILES) -> D
     per_hour = timed.groupBy(hour.alias("hour")).agg(F.count("*").alias("files"))
     # One row per hour of history: small enough for a single ordered window.
     reached = per_hour.withColumn("so_far", F.sum("files").over(Window.orderBy("hour")))
-    cutoff = reached.agg(F.min(F.when(F.col("so_far") >= rows, F.col("hour")))).scalar()
-    return timed.where(hour <= F.coalesce(cutoff, F.lit(2**62))).orderBy(*order).limit(rows)
+    cutoff = reached.agg(F.min(F.when(F.col("so_far") >= limit, F.col("hour")))).scalar()
+    return timed.where(hour <= F.coalesce(cutoff, F.lit(2**62))).orderBy(*order).limit(limit)
 
 
 def backlog(
-    listing: DataFrame, as_of: dt.datetime, max_age: dt.timedelta = dt.timedelta(days=7), max_files: int = 5000
+    listing: DataFrame, as_of: dt.datetime, max_age: dt.timedelta = dt.timedelta(0), max_files: int = 0
 ) -> DataFrame:
     """Files to look at again after a restart: recent enough, and at most ``max_files`` of them.
 
-    A zero age or count lifts the bound. The oldest by (write time, path) are kept.
+    A zero age or count, the defaults, is no bound. The oldest by (write time, path) are kept.
     """
     recent = listing
     if max_age > dt.timedelta(0):

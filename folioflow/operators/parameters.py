@@ -30,10 +30,14 @@ def lookup(requests: DataFrame, parameters: DataFrame) -> DataFrame:
     )
 
 
-def with_folder(found: DataFrame, fallback: str = "configured") -> DataFrame:
-    """Add ``folder``: the looked-up value, or the configured one where that is blank."""
+def with_folder(found: DataFrame) -> DataFrame:
+    """Add ``folder``: the looked-up value, null where that is blank.
+
+    Once there is a parameter table only its values count; what is configured elsewhere is for
+    installations without one (:func:`invoice_folder`).
+    """
     value = F.when(~is_blank(F.col("valor")), F.col("valor"))
-    return found.withColumn("folder", F.regexp_replace(F.coalesce(value, F.col(fallback)), r"[/\\]+\z", ""))
+    return found.withColumn("folder", F.regexp_replace(value, r"[/\\]+\z", ""))
 
 
 def invoice_folder(parameters: DataFrame | None, configured: str | None) -> str | None:

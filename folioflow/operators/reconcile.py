@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.names import file_name, guide_key_from_pdf, relative_to
 from folioflow.functions.text import fold_case, is_blank
-from folioflow.operators.listing import DEFAULT_MAX_FILES, oldest_first
+from folioflow.operators.listing import oldest_first
 from folioflow.operators.skew import spread_nulls
 
 
@@ -46,14 +46,14 @@ def with_guide_keys(listing: DataFrame) -> DataFrame:
 def pending_guides(
     listing: DataFrame,
     registered: DataFrame,
-    max_files: int | None = DEFAULT_MAX_FILES,
+    max_files: int | None = None,
     limit_after: bool = False,
     active_only: bool = False,
 ) -> DataFrame:
     """PDFs to process: the oldest first, without those whose guide key is registered.
 
-    The limit applies before the registered guides are taken out, so a backlog of registered
-    files can hide newer ones; ``limit_after`` turns the two around. Voided guides still count
+    A limit, if there is one, applies before the registered guides are taken out, so a backlog of
+    registered files can hide newer ones; ``limit_after`` turns the two around. Voided guides still count
     as registered unless ``active_only``.
     """
     if active_only:
@@ -65,7 +65,7 @@ def pending_guides(
 
 
 def pending_invoices(
-    listing: DataFrame, registered: DataFrame, root: str, max_files: int | None = DEFAULT_MAX_FILES
+    listing: DataFrame, registered: DataFrame, root: str, max_files: int | None = None
 ) -> DataFrame:
     """Invoice files to process: the oldest first, without those whose relative path is registered."""
     named = oldest_first(listing, max_files).withColumn("name_file", relative_to(F.col("path"), root))

@@ -15,10 +15,11 @@ from folioflow.operators import guides, invoices
 from folioflow.operators.attempts import (
     DEFAULT_MAX_ATTEMPTS, attempt_rows, number_attempts, quarantine_rows,
 )
-from folioflow.operators.listing import DEFAULT_MAX_FILES, distinct_paths, from_day, non_empty, with_effective_time
+from folioflow.operators.listing import distinct_paths, from_day, non_empty, with_effective_time
 from folioflow.operators.reconcile import not_registered, pending_guides, pending_invoices, registered_keys
+from folioflow.operators.skew import keep_first
 from folioflow.session import cut_lineage
-from folioflow.sinks.files import copy_routed, write_quarantine
+from folioflow.sinks.files import copy_routed, quarantined_before, write_quarantine
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry, first_of_each_file
 from folioflow.sources.landing import PDF_FILES, TXT_FILES, XML_FILES, list_files, read_documents
 
@@ -32,11 +33,14 @@ class Folders:
 
 
 def companion_records(spark: SparkSession, folder: str, pdfs: DataFrame) -> DataFrame:
-    """Text records of the given PDFs. Names are matched on the listing; only hits are read."""
+    """Text records of the given PDFs, one for each name compared without case: the first by path.
+
+    Names are matched on the listing; files outside the hits' range of write times are not opened.
+    """
     needed = guides.with_names(pdfs).select(fold_case(F.col("companion")).alias("_name")).distinct()
     listed = non_empty(list_files(spark, folder, TXT_FILES))
     hits = listed.withColumn("_name", fold_case(file_name(F.col("path")))).join(needed, "_name", "left_semi")
-    return read_documents(spark, folder, TXT_FILES, hits)
+    return read_documents(spark, folder, TXT_FILES, keep_first(hits, ["_name"], [F.col("path")]))
 
 
 def register_guides(
@@ -84,9 +88,13 @@ def log_attempts(judged: DataFrame, folder: str | None, batch_id: str, as_of: dt
 def quarantine(
     spark: SparkSession, outcomes: str, target: str, batch_id: str, max_attempts: int = DEFAULT_MAX_ATTEMPTS
 ) -> DataFrame:
-    """Count the attempts of the whole log and write the files that failed too often."""
+    """Count the attempts of the whole log and write the files that failed too often, each once.
+
+    What an earlier run stored is left out; returns what this run stores. A batch id may run again.
+    """
     schema = "path string, ts timestamp_ntz, attempt_id string, success boolean, error string"
     rows = quarantine_rows(number_attempts(spark.read.schema(schema).parquet(f"{outcomes}/batch=*"), max_attempts))
+    rows = cut_lineage(rows.join(quarantined_before(spark, target, batch_id), "attempt_id", "left_anti"))
     write_quarantine(rows, target, batch_id)
     return rows
 
@@ -103,7 +111,7 @@ class DailyRun:
         self._active = threading.Lock()
 
     def run(
-        self, as_of: dt.datetime, only_today: bool = False, max_files: int = DEFAULT_MAX_FILES,
+        self, as_of: dt.datetime, only_today: bool = False, max_files: int | None = None,
         skip_registered: bool = True, pipelines: tuple[str, ...] = ("guide", "invoice"),
     ) -> DataFrame | None:
         """One summary row per pipeline; a pipeline that breaks does not stop the other."""
@@ -116,7 +124,7 @@ class DailyRun:
                 try:
                     rows.append((name, *step(as_of, only_today, max_files, skip_registered), None))
                 except Exception as error:  # noqa: BLE001 - reported in the summary
-                    rows.append((name, None, None, None, str(error)[:2000]))
+                    rows.append((name, None, None, None, str(error)))
             return self.spark.createDataFrame(
                 rows, "pipeline string, pending long, processed long, failed long, error string"
             )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-# Landing listing: what a folder scan yields, without the content.
-LISTING_SCHEMA = "path string, modificationTime timestamp, length long"
-
 # Fixed column names and types of the registered-guide table (identity column left out).
 GUIDE_SCHEMA = (
     "greName string, ordenCompra string, notaVenta string, delivery string, facturaSAP string, "
@@ -41,7 +38,6 @@ DEPARTMENTS = [
 ]
 
 # Transfer motive.
-MOTIVES = {1: "venta", 3: "ventaTerceros", 4: "trasladoOficinas"}
 THIRD_PARTY_SALE = 3
 
 # Destination folders of a guide's PDF.

@@ -35,6 +35,16 @@ def write_quarantine(rows: DataFrame, target: str, batch_id: str) -> None:
     rows.write.mode("overwrite").partitionBy("day").parquet(f"{target.rstrip('/')}/batch={batch_id}")
 
 
+def quarantined_before(spark: SparkSession, target: str, batch_id: str) -> DataFrame:
+    """``attempt_id`` of all dead-letter rows of other batches; none if there is no such folder yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return spark.createDataFrame([], "attempt_id string")
+    stored = spark.read.schema("attempt_id string, batch string").parquet(target)
+    return stored.where(F.col("batch") != batch_id).select("attempt_id").distinct()
+
+
 def log_entries(events: DataFrame, prefix: str = "") -> DataFrame:
     """Entries of the daily error log: warnings and worse, with the file each one goes to."""
     stem = prefix.strip() or DEFAULT_LOG_PREFIX
@@ -48,8 +58,12 @@ def within_retention(entries: DataFrame, as_of: dt.date, days: int) -> DataFrame
     return entries if days <= 0 else entries.where(F.col("day") >= F.lit(as_of - dt.timedelta(days=days)))
 
 
-def write_log(entries: DataFrame, target: str) -> None:
-    entries.write.mode("append").partitionBy("day").parquet(target)
+def write_log(entries: DataFrame, target: str, batch_id: str) -> None:
+    """Entries below one folder per day and batch; a batch that is written again replaces itself."""
+    (
+        entries.withColumn("batch", F.lit(batch_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(target)
+    )
 
 
 def expire_log(spark: SparkSession, target: str, as_of: dt.date, days: int) -> list[str]:

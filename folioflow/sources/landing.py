@@ -34,11 +34,13 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 
 
 def stream_files(
-    spark: SparkSession, folder: str, glob: str, max_files: int = 2000, max_age: str = "7d"
+    spark: SparkSession, folder: str, glob: str, max_files: int = 2000, max_age: str = "36500d"
 ) -> DataFrame:
     """Newly landed files as a stream; each micro-batch takes at most ``max_files``, none of them lost.
 
-    Files found at the start that are ``max_age`` older than the newest are left to the daily run.
+    Spark passes over files whose write time lies ``max_age`` before the newest it has seen. The default
+    lets through whatever lands, also files that were moved here with their old times; the price is that
+    the stream's log remembers every path. A shorter age bounds that and leaves old files to the daily run.
     """
     files = (
         spark.readStream.format("binaryFile")

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from folioflow.functions.text import fold_case
 from folioflow.functions.times import seconds_of
-from folioflow.operators.alerts import BUFFER_CAPACITY, AlertRules
+from folioflow.operators.alerts import AlertRules
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -87,7 +87,7 @@ class _Batches(StatefulProcessor):
         self.open = handle.getListState("open", "event_id long, category string, ts timestamp_ntz")
 
     def _close(self, key, sent: int, opened: int, opened_rank: int) -> pd.DataFrame:
-        held = list(self.open.get())[-BUFFER_CAPACITY:]
+        held = list(self.open.get())
         self.open.clear()
         return pd.DataFrame(
             [(key[0], opened, opened_rank, sent, *event) for event in held],
@@ -137,12 +137,15 @@ class _Batches(StatefulProcessor):
 def batched_events(events: DataFrame, rules: AlertRules = AlertRules(), lateness: str = "10 seconds") -> DataFrame:
     """Stream form of alert batching; a batch comes out when it is full or its time is over.
 
-    ``events`` holds ``channel, category, ts, event_id``. Events later than ``lateness`` are
-    counted at the channel's current second.
+    ``events`` holds ``channel, category, ts, event_id``. ``lateness`` is how long the watermark, and with
+    it the end of a batch in a silent channel, waits behind the newest event. No event is dropped: one
+    that comes later still is counted at its channel's current second.
     """
     timed = events.select("channel", "category", "ts", "event_id", seconds_of(F.col("ts")).alias("second"))
     # Timers run on event time, which Spark tracks on a zoned timestamp column.
+    # The column goes once the watermark is set: where it is present, Spark drops late rows.
     marked = timed.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", lateness)
+    marked = marked.drop("event_time")
     if not rules.enabled:
         marked = marked.where(F.lit(False))
     return marked.groupBy("channel").transformWithStateInPandas(

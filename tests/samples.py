@@ -11,36 +11,36 @@ RECORD = """A;ImprDest;1;\\\\printer\\queue
 A;TipoDTE;1;9
 A;Serie;1;{serie}
 A;Correlativo;1;{number}
-A;RznSocEmis;1;ACME; S.A.C.
-B;NmbItem;1;HEADSET, GREEN
-E;DescripcionAdicsunat;1;{serie}-{number}  |  Orden de Compra Cliente 3230855205  |  Nota de Venta SAP 7110565698  |  {delivery}  |  Factura Sistema 9929388116  |  Ruta G00STD  |    |    |  Documento Ref F007-0655433 
+A;RznSocEmis;1;NORTHERN; S.A.C.
+B;NmbItem;1;LAMP, BLUE
+E;DescripcionAdicsunat;1;{serie}-{number}  |  Orden de Compra Cliente 4700112358  |  Nota de Venta SAP 5500987611  |  {delivery}  |  Factura Sistema 9100223344  |  Ruta R17NORTE  |    |    |  Documento Ref F113-0071902 
 E;DescripcionAdicsunat;2;
 G;MotivoTraslado;1;{motive}
 G;DirLlegUbiGeo;1;{postal}
 G1;FechInicioTraslado;1;{date}
-G1;RUCTranspor;1; 20556821438
+G1;RUCTranspor;1; 20881234567
 G1;RazoTrans;1; CARRIER S.A.C.
 """
 
 
-def record(serie="T001", number="0118915", motive="03", postal="150101", date="2026-04-07", delivery="8109370325"):
+def record(serie="T001", number="0204617", motive="03", postal="150101", date="2026-04-07", delivery="8300456789"):
     label = f"Documento Despacho {delivery}" if delivery else "Sin despacho"
     return RECORD.format(serie=serie, number=number, motive=motive, postal=postal, date=date, delivery=label)
 
 
-def line(part="000000000006684111", text="HEADSET GREEN", quantity="1.000"):
+def line(part="000000000007720345", text="LAMP BLUE", quantity="1.000"):
     children = [("partNumber", part), ("itemDescription", text), ("quantity", quantity)]
     body = "".join(f"<ns0:{tag}>{value}</ns0:{tag}>" for tag, value in children if value is not None)
     return f"<ns0:line><ns0:stocKLine>{body}</ns0:stocKLine></ns0:line>"
 
 
 def invoice(lines=None, **tags):
-    header = {"documentType": "01", "docNumber": "F007", "sequentilaNumber": "0655433", "invoiceDate": "2026-04-07"}
+    header = {"documentType": "01", "docNumber": "F113", "sequentilaNumber": "0071902", "invoiceDate": "2026-04-07"}
     header.update({
-        "billToNumber": "387108", "customerTVAT": "20604798591", "billToName": "SHOP S.A.C.", "currencyCode": "PEN",
-        "totalTaxValue": "330.08", "SAPBillingDocumentNumber": "9929388116", "paymentDueDate": "2026-05-07",
-        "paymentMethod": "30 días", "orderNumber": "7110565698", "paymentIssueTime": "11:21:58.0000",
-        "salesMan": "203108", "customerOrderNumber": "3230855205",
+        "billToNumber": "512044", "customerTVAT": "20777654321", "billToName": "SHOP S.A.C.", "currencyCode": "PEN",
+        "totalTaxValue": "418.26", "SAPBillingDocumentNumber": "9100223344", "paymentDueDate": "2026-05-07",
+        "paymentMethod": "45 días", "orderNumber": "5500987611", "paymentIssueTime": "08:45:12.0000",
+        "salesMan": "700215", "customerOrderNumber": "4700112358",
     })
     header.update(tags)
     body = "".join(f"<ns0:{tag}>{value}</ns0:{tag}>" for tag, value in header.items() if value is not None)
@@ -68,6 +68,6 @@ class Landing:
         os.utime(path, (when or self.clock,) * 2)
         return str(path)
 
-    def guide(self, number="0118915", serie="T001", issuer="20267163228", **fields) -> str:
+    def guide(self, number="0204617", serie="T001", issuer="20990011224", **fields) -> str:
         self.put("txt", f"{issuer}-{serie}-{number}.txt", record(serie=serie, number=number, **fields))
         return self.put("pdf", f"{issuer}-09-{serie}-0{number}.pdf", f"%PDF {serie} {number}")

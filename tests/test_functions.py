@@ -44,7 +44,7 @@ def test_amount_is_tolerant(spark):
 
 def test_part_number(spark):
     cases = {
-        "000000000006684111": "6684111", "ABC123": None, "2147483647": "2147483647", "2147483648": None, " 12 ": "12",
+        "000000000007720345": "7720345", "ABC123": None, "2147483647": "2147483647", "2147483648": None, " 12 ": "12",
         "-7": "-7", "1.5": None, "1e3": None, "": None, None: None,
     }
     assert each(spark, list(cases), numbers.part_number) == list(cases.values())
@@ -72,9 +72,9 @@ def test_trim_takes_every_unicode_blank(spark):
 @pytest.mark.parametrize(
     ("name", "key", "companion"),
     [
-        ("20267163228-09-T001-00118915.pdf", "GR-0T001-0118915", "20267163228-T001-0118915.txt"),
-        ("20267163228-09-T001-00116405.pdf", "GR-0T001-0116405", "20267163228-T001-0116405.txt"),
-        ("20267163228-09-T001.pdf", None, None),
+        ("20990011224-09-T001-00204617.pdf", "GR-0T001-0204617", "20990011224-T001-0204617.txt"),
+        ("20990011224-09-T001-00309128.pdf", "GR-0T001-0309128", "20990011224-T001-0309128.txt"),
+        ("20990011224-09-T001.pdf", None, None),
         ("a-b-c-123.pdf", None, None),
         ("a-b-c-1234.pdf", "GR-0c-234.pdf", "a-c-234.pdf.txt"),
     ],
@@ -85,7 +85,7 @@ def test_keys_from_pdf_names(spark, name, key, companion):
 
 
 def test_pattern_from_record_name(spark):
-    cases = {"a-T001-0118915.txt": "a-*-T001-?0118915*.pdf", "a-T001-123.txt": None, "a-b-c-0118915.txt": None, "": None}
+    cases = {"a-T001-0204617.txt": "a-*-T001-?0204617*.pdf", "a-T001-123.txt": None, "a-b-c-0204617.txt": None, "": None}
     assert each(spark, list(cases), names.pdf_pattern_of_companion) == list(cases.values())
 
 
@@ -117,7 +117,7 @@ def test_missing_attribute_is_empty_and_reported(spark):
 
 
 def test_embedded_semicolons_stay(spark):
-    assert indexed(spark, "A;RznSocEmis;1;ACME; S.A.C.").first()["attributes"] == {"RznSocEmis": "ACME; S.A.C."}
+    assert indexed(spark, "A;RznSocEmis;1;NORTHERN; S.A.C.").first()["attributes"] == {"RznSocEmis": "NORTHERN; S.A.C."}
 
 
 def test_labels(spark):
@@ -146,10 +146,10 @@ def test_labels(spark):
 def test_sample_record(spark):
     row = indexed(spark, "\ufeff" + record()).first()
     assert row["attributes"]["Serie"] == "T001"
-    assert row["attributes"]["RUCTranspor"] == "20556821438"
+    assert row["attributes"]["RUCTranspor"] == "20881234567"
     assert row["fields"][1:] == [
-        "Orden de Compra Cliente 3230855205", "Nota de Venta SAP 7110565698", "Documento Despacho 8109370325",
-        "Factura Sistema 9929388116", "Ruta G00STD", "Documento Ref F007-0655433",
+        "Orden de Compra Cliente 4700112358", "Nota de Venta SAP 5500987611", "Documento Despacho 8300456789",
+        "Factura Sistema 9100223344", "Ruta R17NORTE", "Documento Ref F113-0071902",
     ]
 
 

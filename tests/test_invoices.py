@@ -20,10 +20,10 @@ def judged(spark, *documents):
 def test_header_and_line(spark):
     (row,) = judged(spark, invoice())
     assert row["status"] == "accepted"
-    assert (row["TipDoc"], row["Serie"], row["Numero"], row["Fecha"]) == ("01", "F007", "0655433", "2026-04-07")
-    assert (row["ConPag"], row["Monto"], row["FacInterno"]) == ("30 días", "330.08", "9929388116")
+    assert (row["TipDoc"], row["Serie"], row["Numero"], row["Fecha"]) == ("01", "F113", "0071902", "2026-04-07")
+    assert (row["ConPag"], row["Monto"], row["FacInterno"]) == ("45 días", "418.26", "9100223344")
     assert row["checked_lines"] == [
-        {"line_no": 0, "Cod_Material": "6684111", "Descripcion": "HEADSET GREEN", "Cantidad": "1.000"}
+        {"line_no": 0, "Cod_Material": "7720345", "Descripcion": "LAMP BLUE", "Cantidad": "1.000"}
     ]
 
 
@@ -55,7 +55,7 @@ def test_reference_document_only_for_notes(spark):
 
 
 def test_correct_spelling_of_the_number_tag_is_not_read(spark):
-    (row,) = judged(spark, invoice(sequentilaNumber=None, sequentialNumber="0655433"))
+    (row,) = judged(spark, invoice(sequentilaNumber=None, sequentialNumber="0071902"))
     assert row["Numero"] == ""
 
 

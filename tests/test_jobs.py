@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators.attempts import number_attempts, quarantine_rows
+from folioflow.operators.invoices import parse_documents
 from folioflow.functions.names import relative_to
 from folioflow.plans.jobs import (
     DailyRun, companion_records, folder_root, quarantine, register_guides, register_invoices,
@@ -16,7 +17,7 @@ from folioflow.sinks.files import expire_log, log_entries, write_log, write_quar
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry
 from folioflow.sources.landing import PDF_FILES, XML_FILES, list_files, read_documents
 from folioflow.streaming import ingest
-from tests.samples import Landing, invoice, line
+from tests.samples import Landing, invoice, line, record
 
 NOW = dt.datetime(2026, 4, 8, 9, 0)
 
@@ -49,14 +50,14 @@ def table(guides):
 
 def test_happy_path(spark, guides, landing):
     landing.guide()
-    assert register(spark, guides, landing) == {"20267163228-09-T001-00118915.pdf": ("accepted", None)}
+    assert register(spark, guides, landing) == {"20990011224-09-T001-00204617.pdf": ("accepted", None)}
     (row,) = guides.read().collect()
-    assert (row["greName"], row["delivery"], row["city"], row["stateCode"]) == ("GR-0T001-0118915", "8109370325", 15, "LI")
+    assert (row["greName"], row["delivery"], row["city"], row["stateCode"]) == ("GR-0T001-0204617", "8300456789", 15, "LI")
     assert (row["motivoTraslado"], row["Auditoria_Deleted"]) == (3, False)
     assert row["fechaInicioTraslado"] == dt.datetime(2026, 4, 7)
     copied = spark.read.parquet(landing.folders.routed).collect()
     assert [(c["route"], c["name"], bytes(c["content"])) for c in copied] == [
-        ("dirEcommerce", "20267163228-09-T001-00118915.pdf", b"%PDF T001 0118915")
+        ("dirEcommerce", "20990011224-09-T001-00204617.pdf", b"%PDF T001 0204617")
     ]
 
 
@@ -91,17 +92,17 @@ def test_rejected_guides_leave_nothing(spark, guides, landing):
 
 
 def test_record_missing_empty_or_blank_and_bad_names(spark, guides, landing):
-    landing.put("pdf", "20267163228-09-T001-00000001.pdf", "x")
-    landing.put("pdf", "20267163228-09-T001-00000002.PDF", "x")
-    landing.put("txt", "20267163228-T001-0000002.txt", "")
-    landing.put("pdf", "20267163228-09-T001-00000003.pdf", "x")
-    landing.put("txt", "20267163228-t001-0000003.TXT", "A;Serie;1; \nA;Correlativo;1;1")
+    landing.put("pdf", "20990011224-09-T001-00000001.pdf", "x")
+    landing.put("pdf", "20990011224-09-T001-00000002.PDF", "x")
+    landing.put("txt", "20990011224-T001-0000002.txt", "")
+    landing.put("pdf", "20990011224-09-T001-00000003.pdf", "x")
+    landing.put("txt", "20990011224-t001-0000003.TXT", "A;Serie;1; \nA;Correlativo;1;1")
     landing.put("pdf", "short-name.pdf", "x")
-    landing.put("pdf", "20267163228-09-T001-00000004.pdf", "")
+    landing.put("pdf", "20990011224-09-T001-00000004.pdf", "")
     assert register(spark, guides, landing) == {
-        "20267163228-09-T001-00000001.pdf": ("skipped", "record_missing"),
-        "20267163228-09-T001-00000002.PDF": ("skipped", "record_missing"),
-        "20267163228-09-T001-00000003.pdf": ("skipped", "serie_or_correlative_missing"),
+        "20990011224-09-T001-00000001.pdf": ("skipped", "record_missing"),
+        "20990011224-09-T001-00000002.PDF": ("skipped", "record_missing"),
+        "20990011224-09-T001-00000003.pdf": ("skipped", "serie_or_correlative_missing"),
         "short-name.pdf": ("failed", "bad_file_name"),
     }
 
@@ -117,7 +118,7 @@ def test_second_run_changes_nothing(spark, guides, landing):
 
 def test_same_guide_twice_in_a_batch_is_registered_once(spark, guides, landing):
     landing.guide()
-    landing.put("pdf", "20267163228-09-T001-00118915-copy.pdf", "copy")
+    landing.put("pdf", "20990011224-09-T001-00204617-copy.pdf", "copy")
     register(spark, guides, landing)
     assert guides.read().count() == 1
 
@@ -247,12 +248,12 @@ def test_invoice_stream_equals_batch_and_is_idempotent(spark, landing, invoices,
 
 
 def test_late_record_triggers_its_pdf(spark, landing, guides, tmp_path):
-    landing.put("pdf", "20267163228-09-T001-00118915.pdf", "early")
+    landing.put("pdf", "20990011224-09-T001-00204617.pdf", "early")
     ingest.guides_from_pdfs(guides, landing.folders, str(tmp_path / "p"), lambda: NOW).awaitTermination()
     assert guides.read().count() == 0
     landing.guide()
     ingest.guides_from_records(guides, landing.folders, str(tmp_path / "t"), lambda: NOW).awaitTermination()
-    assert [r["greName"] for r in guides.read().collect()] == ["GR-0T001-0118915"]
+    assert [r["greName"] for r in guides.read().collect()] == ["GR-0T001-0204617"]
 
 
 def test_quarantine_table(spark, tmp_path):
@@ -281,6 +282,24 @@ def test_files_that_keep_failing_end_in_quarantine(spark, landing, invoices, tmp
     (row,) = quarantine(spark, log, store, "q1").collect()
     assert (row["stored_as"], row["attempts"], row["day"]) == ("bad.xml", 3, dt.date(2026, 4, 10))
     assert spark.read.parquet(f"{store}/batch=q1").count() == 1
+    # Another run stores nothing twice; the same run may be repeated.
+    assert quarantine(spark, log, store, "q2").count() == 0
+    assert quarantine(spark, log, store, "q1").count() == 1
+    assert spark.read.parquet(store).count() == 1
+
+
+def test_records_whose_names_differ_in_case_give_one_row(spark, landing, tmp_path):
+    landing.guide(number="0000007")
+    name = "20990011224-T001-0000007"
+    landing.put("txt", f"{name}.TXT", record(number="0000007"))
+    pdfs = list_files(spark, landing.folders.pdf, PDF_FILES)
+    assert companion_records(spark, landing.folders.txt, pdfs).count() == 1
+
+
+def test_null_invoice_is_malformed(spark):
+    rows = spark.createDataFrame([("a", None), ("b", ""), ("c", invoice())], "path string, value string")
+    errors = {r["path"]: r["xml_error"] for r in parse_documents(rows).collect()}
+    assert errors["a"] and errors["b"] and errors["c"] is None
 
 
 def test_log_retention(spark, tmp_path):
@@ -290,7 +309,8 @@ def test_log_retention(spark, tmp_path):
         "category string, level string, message string, ts timestamp_ntz, event_id long",
     )
     target = str(tmp_path / "log")
-    write_log(log_entries(events, "  "), target)
+    write_log(log_entries(events, "  "), target, "b1")
+    write_log(log_entries(events, "  "), target, "b1")
     assert expire_log(spark, target, dt.date(2026, 4, 8), 0) == []
     assert expire_log(spark, target, dt.date(2026, 4, 8), 6) == ["2026-04-01"]
     kept = spark.read.parquet(target)

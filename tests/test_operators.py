@@ -102,6 +102,30 @@ def test_alert_stream_equals_batch(spark, rules, tmp_path):
     assert got == expected_batches(rows, rules)
 
 
+def test_alert_stream_keeps_late_events_and_whole_batches(spark, tmp_path):
+    """A batch of more than 500 comes out whole, and an event far behind the watermark is not lost."""
+    schema = "channel string, category string, ts timestamp_ntz, event_id long"
+    parts = [
+        [("c", "a", START + dt.timedelta(milliseconds=i), i) for i in range(700)],
+        [("c", "a", START + dt.timedelta(seconds=900), 700)],
+        [("c", "late", START + dt.timedelta(seconds=300), 701), ("z", "a", START + dt.timedelta(days=9), 702)],
+        [("z", "a", START + dt.timedelta(days=20), 703)],
+    ]
+    source = tmp_path / "in"
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(source))
+    with stateful.rocksdb_state(spark):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+        query = (
+            stateful.batched_events(stream, AlertRules(window=2000, max_batch=600, throttle=0)).writeStream
+            .format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+            .start(str(tmp_path / "out"))
+        )
+        query.awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out")).where("channel = 'c'").groupBy("opened", "opened_rank").count()
+    assert sorted(r["count"] for r in found.collect()) == [102, 600]
+
+
 def test_summary_counts_categories_by_first_appearance(spark):
     rows = [("c", cat, START + dt.timedelta(seconds=i), i) for i, cat in enumerate("baab")] + [
         ("c", "z", START + dt.timedelta(seconds=9), 9)
