@@ -18,6 +18,7 @@ from folioflow.functions.names import relative_to
 from folioflow.functions.text import fold_case
 from folioflow.operators.guides import pdfs_of_arrived_records
 from folioflow.operators.listing import non_empty
+from folioflow.operators.reconcile import not_registered, registered_keys
 from folioflow.plans.jobs import Folders, companion_records, folder_root, register_guides, register_invoices
 from folioflow.session import cut_lineage
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry
@@ -77,7 +78,10 @@ def invoices_from_files(
     root = folder_root(spark, folders.xml)
 
     def batch(files: DataFrame, number: int) -> None:
-        wanted = cut_lineage(non_empty(files))
+        # Registered files go by their names, before any content is read.
+        listed = non_empty(files).withColumn("name_file", relative_to(F.col("path"), root))
+        keys = registered_keys(registry.headers(), "NameFile")
+        wanted = cut_lineage(not_registered(listed, F.col("name_file"), keys).drop("name_file"))
         documents = read_documents(spark, folders.xml, XML_FILES, wanted)
         documents = documents.withColumn("name_file", relative_to(F.col("path"), root))
         register_invoices(registry, documents, clock(), f"{name}-{number}", outcomes)
