@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +16,10 @@ from folioflow.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
+Batches = Iterator[pa.RecordBatch]
+#: Rows that Python code looks at and hands on at a time.
+ROWS_AT_ONCE = 256
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,3 +63,29 @@ def random_unit(seed: int, *columns: str) -> Column:
     text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     bits = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
     return (bits.cast("double") + 0.5) / F.lit(float(1 << 48))
+
+
+def frugal(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, fed with small batches; memory goes back to the system at the end.
+
+    Spark's batches hold ten thousand rows, which may be long texts, and its Python workers live on
+    after a task with all the memory that they ever had.
+    """
+
+    def sliced(batches: Batches) -> Batches:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield batch.slice(at, ROWS_AT_ONCE)
+
+    def all_of(batches: Batches) -> Batches:
+        try:
+            yield from run(sliced(batches))
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return all_of

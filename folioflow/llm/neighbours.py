@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.llm.common import frugal
+
 #: Labelled rows used at most: those with the least hash of their id.
 SAMPLE = 4096
 #: Counters for words, for the shapes of words, and for what shows in the order of words and lines.
@@ -139,7 +141,7 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS + 1)), pa.array([*sums.tolist(), n])], ["term", "n"])
 
-    rows = _with_text(docs).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = _with_text(docs).mapInArrow(frugal(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = {r["term"]: r["n"] for r in rows}
     return np.array([counts.get(k, 0) for k in range(TERMS)]), counts.get(TERMS, 0)
 
@@ -173,7 +175,7 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: tu
     chosen = F.broadcast(sampled_labels(labels, label, fold, sample))
     rows = (
         _with_text(docs).join(chosen, "doc_id").select("doc_id", "text", "label")
-        .mapInArrow(run, "doc_id long, label double, terms binary")
+        .mapInArrow(frugal(run), "doc_id long, label double, terms binary")
         .groupBy("doc_id").agg(F.first("label").alias("label"), F.min("terms").alias("terms"))
         .collect()
     )
@@ -203,6 +205,6 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: tup
     by, out = fold
     return (
         _with_text(docs)
-        .mapInArrow(run, "doc_id long, score double")
+        .mapInArrow(frugal(run), "doc_id long, score double")
         .select("doc_id", (remainder("doc_id", by) == out).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
     )

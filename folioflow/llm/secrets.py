@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -12,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.llm.common import frugal
+
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
 )
@@ -43,7 +46,7 @@ _PLACES = {name: {c: k for k, c in enumerate(chars)} for name, chars in ENCODING
 #: A string is thrown out if the battery rejects randomness at this level.
 NOT_RANDOM = 0.01
 #: Share of false discoveries allowed among the strings of a length class.
-FALSE_SHARE = 0.01
+FALSE_SHARE = 0.001
 #: Length classes, each with a control of its own: short strings give weaker evidence.
 LENGTHS = (20, 28, 40, 64)
 _STEPS, _DEEPEST = 10, 300
@@ -142,7 +145,7 @@ def character_model(docs: DataFrame) -> Model:
                 sums += np.bincount(np.frombuffer(text.as_py(), np.uint8), minlength=256)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(sums)], ["code", "n"])
 
-    rows = _texts(docs).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    rows = _texts(docs).mapInArrow(frugal(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
     counts = {chr(r["code"]): r["n"] for r in rows}
     scores, moments = {}, {}
     for name, chars in ENCODINGS.items():
@@ -155,25 +158,27 @@ def character_model(docs: DataFrame) -> Model:
 
 
 def with_discovery_control(docs: DataFrame, model: Model) -> Model:
-    """Benjamini-Hochberg over all candidates of all texts, for each length class by itself.
+    """Benjamini-Hochberg over all different candidates of all texts, for each length class by itself.
 
     p-values are counted in steps of a tenth of a decade, so what reaches the driver is bounded, and
     each counts as the upper end of its step.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros((len(LENGTHS), _DEEPEST + 1), np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for match in CANDIDATE.finditer(text):
-                    p = model.p_value(match.group())
-                    found[length_class(len(match.group().rstrip("="))), _depth(1.0 if p is None else p)] += 1
-        kinds, steps = np.nonzero(found)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kinds), pa.array(steps), pa.array(found[kinds, steps])], ["kind", "step", "n"]
-        )
+            seen = {m.group() for text in batch.column(0).to_pylist() for m in CANDIDATE.finditer(text)}
+            rows = []
+            for string in seen:
+                p = model.p_value(string)
+                mark = int.from_bytes(hashlib.blake2b(string.encode(), digest_size=8).digest(), "little", signed=True)
+                rows.append((mark, length_class(len(string.rstrip("="))), _depth(1.0 if p is None else p)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["mark", "kind", "step"]
+            )
 
-    rows = _texts(docs).mapInArrow(run, "kind long, step long, n long").groupBy("kind", "step").agg(F.sum("n").alias("n")).collect()
+    # A string counts once however often it stands in texts.
+    each = _texts(docs).mapInArrow(frugal(run), "mark long, kind long, step long").distinct()
+    rows = each.groupBy("kind", "step").agg(F.count("*").alias("n")).collect()
     allowed = []
     for kind in range(len(LENGTHS)):
         own = sorted(((r["step"], r["n"]) for r in rows if r["kind"] == kind), reverse=True)
@@ -232,7 +237,7 @@ def found(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(run, "doc_id long, found array<struct<kind:string,start:bigint,end:bigint>>")
+    ).mapInArrow(frugal(run), "doc_id long, found array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def redacted(docs: DataFrame, model: Model | None = None, mark: str = "[SECRET]") -> DataFrame:
@@ -262,7 +267,7 @@ def redacted(docs: DataFrame, model: Model | None = None, mark: str = "[SECRET]"
             )
 
     changed = docs.withColumn("text", F.col("text").cast("string"))
-    out = changed.mapInArrow(run, changed.schema)
+    out = changed.mapInArrow(frugal(run), changed.schema)
     if "n_chars" not in docs.columns:
         return out
     kind = docs.schema["n_chars"].dataType

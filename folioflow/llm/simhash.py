@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import staged
+from folioflow.llm.common import frugal, staged
 from folioflow.llm.components import components
 
 BITS = 64
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
+        frugal(run), "doc_id long, fp long"
     )
 
 
