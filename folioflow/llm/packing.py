@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.llm.common import staged
+from folioflow.llm.common import frugal, staged
 
 CAPACITY = 4096
 #: Written after every document.
@@ -27,7 +27,7 @@ FORWARDED = 512
 #: Groups that meet in one task of the next round.
 FAN_IN = 8
 #: Parts of texts a worker remembers, twice: the newest and those before them.
-_REMEMBERED = 300_000
+_REMEMBERED = 250_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -54,31 +54,29 @@ class _Encoder:
         (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(coded.ids, dtype="<u4")
 
-    def __call__(self, text: bytes) -> bytes:
-        parts = text.translate(_LOWER).split()
-        try:
-            return b"".join([self.known[p] for p in parts])
-        except KeyError:
-            self._learn(parts)
-            return b"".join([self.known[p] for p in parts])
-
-    def _learn(self, parts: list[bytes]) -> None:
-        """Make all parts known; only so many stay known for longer."""
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        split = [text.translate(_LOWER).split() for text in texts]
         if len(self.known) > _REMEMBERED:
             self.older, self.known = self.known, {}
-        new, stems = [], {}
-        for part in dict.fromkeys(parts):
-            if part in self.known:
-                continue
-            if part in self.older:
-                self.known[part] = self.older[part]
-                continue
-            new.append(part)
-            stems[self._stem(part)] = None
-        stems = [s for s in stems if s not in self.known]
-        plain = [s for s in stems if b"|" not in s]
-        for at in range(0, len(plain), 500):
-            some = plain[at : at + 500]
+        known = self.known
+        found = [list(map(known.get, parts)) for parts in split]
+        gaps = [[k for k, ids in enumerate(row) if ids is None] for row in found]
+        self._learn({parts[k] for parts, places in zip(split, gaps) for k in places})
+        for parts, row, places in zip(split, found, gaps):
+            for k in places:
+                row[k] = known[parts[k]]
+        return [b"".join(row) for row in found]
+
+    def _learn(self, parts: set[bytes]) -> None:
+        """Make all parts known."""
+        again = {p for p in parts if p in self.older}
+        self.known.update((p, self.older[p]) for p in again)
+        new = list(parts - again)
+        stems = [self._stem(p) for p in new]
+        unknown = set(stems).difference(self.known)
+        plain = [s for s in unknown if b"|" not in s]
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
             ids = self._ids(f" {self.SIGN} ".join([s.decode() for s in some]))
             ends = np.flatnonzero(ids == self.sign)
             raw = ids.tobytes()
@@ -86,16 +84,14 @@ class _Encoder:
             self.known.update(
                 (s, raw[a:b]) for s, a, b in zip(some, starts, [*(4 * ends).tolist(), len(raw)], strict=True)
             )
-        for stem in stems:
+        for stem in unknown:
             if b"|" in stem:
                 self.known[stem] = self._ids(stem.decode()).tobytes()
-        for part in new:
-            stem = self._stem(part)
-            if stem is not part:
-                end = part[-1:]
-                if end not in self.known:
-                    self.known[end] = self._ids(end.decode()).tobytes()
-                self.known[part] = self.known[stem] + self.known[end]
+        for end in (b".", b","):
+            if end not in self.known:
+                self.known[end] = self._ids(end.decode()).tobytes()
+        known = self.known
+        known.update((p, known[s] + known[p[-1:]]) for p, s in zip(new, stems) if s is not p)
 
     @staticmethod
     def _stem(part: bytes) -> bytes:
@@ -116,16 +112,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         encode = _Encoder(tokenizer)
         for batch in batches:
             out: list[tuple] = []
-            held = 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                ids = encode(text.as_py() or b"") + end
-                for k, at in enumerate(range(0, len(ids), size)):
-                    part = ids[at : at + size]
-                    out.append((doc_id, k, at // 4, len(part) // 4, part))
-                    held += len(part)
-                if held > 16_000_000:
-                    yield _batch(out)
-                    out, held = [], 0
+            texts = [t.as_py() or b"" for t in batch.column(1).cast(pa.binary())]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+                ids += end
+                for k, first in enumerate(range(0, len(ids), size)):
+                    cut = ids[first : first + size]
+                    out.append((doc_id, k, first // 4, len(cut) // 4, cut))
             yield _batch(out)
 
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
@@ -136,7 +128,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    ).mapInArrow(frugal(run), "doc_id long, piece int, start long, length long, ids binary")
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
