@@ -21,6 +21,8 @@ MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.5
 #: Places without identifier that every pattern is charged beforehand.
 PRIOR = 2.0
+#: So many words, of some ten bytes each, may be sent to every task.
+SENT_WORDS = 200_000
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: For each kind: what a text must hold to be searched at all, and the shape. A shape starts where the
@@ -112,11 +114,18 @@ def with_strings(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_own", own).withColumn("strings", F.transform("_places", placed)).drop("_words", "_places", "_own")
 
 
-def _pattern_words(docs: DataFrame) -> DataFrame:
-    """``side``, ``word``, ``total``: how often each word stands before and after some other word, over all texts."""
-    words = F.transform(words_of("text"), _edge)
-    counted = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("total"))
-    return counted.where("word <> ''")
+def _totals(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """``word``, ``total``: how often each word that may become a pattern occurs in all texts.
+
+    Words beside fewer different strings than a pattern needs can't. Few words are sent to the tasks,
+    which then count nothing else; many are joined after all words are counted.
+    """
+    needed = edges.groupBy("word").agg(F.count_distinct("value").alias("n")).where(F.col("n") >= MIN_SUPPORT)
+    needed = staged(needed.select("word"), "words")
+    words = docs.select(F.explode(F.transform(words_of("text"), _edge)).alias("word"))
+    if needed.count() <= SENT_WORDS:
+        return words.join(F.broadcast(needed), "word").groupBy("word").agg(F.count("*").alias("total"))
+    return words.groupBy("word").agg(F.count("*").alias("total")).join(needed, "word", "left_semi")
 
 
 def discovered(seen: DataFrame, docs: DataFrame) -> DataFrame:
@@ -139,9 +148,7 @@ def discovered(seen: DataFrame, docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
     )
     edges = staged(edges, "edges")
-    # Only words that stand beside a seed can come to matter at first; others follow through shared strings.
-    totals = staged(_pattern_words(docs).join(edges.select("word").distinct(), "word", "left_semi"), "totals")
-    weighed = edges.join(totals, "word")
+    weighed = edges.join(staged(_totals(docs, edges), "totals"), "word")
     found = edges.groupBy("value").agg(F.max("seed").alias("seed")).select("value", F.col("seed").cast("double").alias("score"))
     for _ in range(ROUNDS):
         patterns = (
