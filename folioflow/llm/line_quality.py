@@ -104,21 +104,20 @@ def measured(docs: DataFrame) -> DataFrame:
 def frequent_lines(lined: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """``host``, ``key`` of lines that more than ``max_documents`` different documents of a host hold.
 
-    ``lined`` has ``host`` and ``_lines``. Copies and near copies are one document: what tells the
-    documents around a line apart is the least key among their other lines, so a line counts the
-    different surroundings it stands in, and a text with a thousand copies loses nothing. Counts are
-    reduced before each shuffle, so a line in every document is a few rows for each task.
+    ``lined`` has ``host`` and ``_lines``. Documents with the same set of normalised lines are one
+    document, so a text with a thousand copies loses nothing; all others count apart, also those that
+    differ in a single line. The pairs of line and document are made distinct before they are counted
+    by line, so a line in every document of a host is spread over all tasks.
     """
     keys = F.array_distinct(F.transform("_lines", lambda x: x["key"]))
-    least = lined.select("host", keys.alias("keys")).select(
-        "host", "keys", F.array_min("keys").alias("m"), F.array_min(F.array_remove("keys", F.array_min("keys"))).alias("m2")
-    )
-    lines = least.select("host", F.explode("keys").alias("key"), "m", "m2").select(
-        "host", "key", F.when(F.col("key") == F.col("m"), F.coalesce("m2", F.lit(""))).otherwise(F.col("m")).alias("near")
+    lines = (
+        lined.select("host", keys.alias("keys"))
+        .select("host", "keys", F.xxhash64(F.array_sort("keys")).alias("document"))
+        .select("host", F.explode("keys").alias("key"), "document")
     )
     return (
         lines.groupBy("host", "key")
-        .agg(F.count_distinct("near").alias("documents"))
+        .agg(F.count_distinct("document").alias("documents"))
         .where(F.col("documents") > max_documents)
         .select("host", "key")
     )

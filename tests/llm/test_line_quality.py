@@ -62,3 +62,14 @@ def test_shared_lines_go_depleted_documents_are_rejected_copies_stay(spark):
     assert texts[1] == (f"{own(1, 30)}\n{own(1001, 5)}", len(f"{own(1, 30)}\n{own(1001, 5)}"))
     assert texts[22] == (rows[10][1], 0) and 21 not in texts and cleaned.count() == 8 + 1 + 1 + 1 + 9 + 1
     assert line_quality.verdicts(docs.limit(0)).count() == line_quality.cleaned(docs.limit(0)).count() == 0
+
+
+def test_menu_of_pages_with_one_own_line_each_is_frequent(spark):
+    """Which line of a menu has the least key must not decide how many pages count apart."""
+    menu = "\n".join(f"menu entry {i} leads to another place" for i in range(30))
+    rows = [(k, f"{menu}\nown line {k} of this page only", "a") for k in range(500)]
+    rows += [(1000 + k, f"{menu}\nthe same text copied", "b") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r["doc_id"]: (r["kept"], r["n_removed"]) for r in line_quality.verdicts(docs).collect()}
+    assert all(found[k] == (False, 30 * 7) for k in range(500))
+    assert all(found[1000 + k] == (True, 0) for k in range(100))
