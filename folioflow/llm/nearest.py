@@ -10,7 +10,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ TABLES = 8
 OCCUPANCY = 100
 #: Share of the sample's neighbours that the probes must find.
 RECALL = 0.95
+#: Buckets a query visits in a table at most; if they don't give the recall, the cells are made coarser.
+MOST_PROBES = 4096
 #: Vectors or queries of one bucket that one task compares at a time.
 BLOCK = 20_000
 
@@ -96,38 +98,68 @@ def fitted(sample: np.ndarray, total: int, seed: int = 3) -> Hashes:
     """Functions for ``total`` vectors like the sample, which also tells how many probes are needed.
 
     More functions cut finer, so that buckets keep their size while vectors grow in number. The cells
-    are so wide that a function mostly knows two of them. The sample's own nearest neighbours are
-    farther apart than those among all vectors, so measuring on it asks for too many probes rather than
-    too few.
+    are so wide that a function mostly knows two of them. Where ``MOST_PROBES`` buckets a table don't
+    reach the recall, there are fewer functions, and a last one gets wider cells: buckets are larger
+    then, but none of the recall is given up. The sample's own nearest neighbours are farther apart than
+    those among all vectors, so measuring on it asks for too many probes rather than too few.
     """
     functions = max(1, min(20, round(math.log2(max(2, total / OCCUPANCY)))))
-    draw = np.random.default_rng(seed)
-    dimension = sample.shape[1]
-    lines = draw.standard_normal((dimension, TABLES * functions))
-    along = sample @ lines
-    width = float(max(3.0 * np.median(np.std(along, axis=0)), 1e-9))
-    # One wall of each function goes through the middle of the sample.
-    shifts = -np.median(along, axis=0) + np.where(draw.random(TABLES * functions) < 0.5, 0.0, 0.5) * width * 0.1
-    hashes = Hashes(lines, shifts, width, TABLES, 1)
     queries = sample[: min(MEASURED, len(sample))]
     distances = np.sqrt(np.maximum((queries**2).sum(1)[:, None] + (sample**2).sum(1) - 2 * queries @ sample.T, 0))
     distances[np.arange(len(queries)), np.arange(len(queries))] = np.inf
     k = min(10, len(sample) - 1)
     if k < 1:
-        return Hashes(lines, shifts, width, TABLES, 2**functions)
+        return _drawn(sample, functions, 3.0, seed, 2**functions)
     near = np.argpartition(distances, k - 1, axis=1)[:, :k]
+
+    def measured(functions: int, deviations: float = 3.0) -> Hashes | None:
+        hashes = _drawn(sample, functions, deviations, seed, 1)
+        limit = min(3**functions, MOST_PROBES)
+        needed = _needed(hashes, sample, queries, near, limit)
+        return replace(hashes, probes=needed) if needed <= limit else None
+
+    best = measured(functions)
+    # The most functions that reach it, halving what is between those that do and those that don't.
+    enough, above = (0, functions) if best is None else (functions, functions + 1)
+    while above - enough > 1:
+        middle = (enough + above) // 2
+        fit = measured(middle)
+        if fit is None:
+            above = middle
+        else:
+            best, enough = fit, middle
+    deviations = 3.0
+    while best is None:
+        deviations *= 2
+        best = measured(1, deviations)
+    return best
+
+
+def _drawn(sample: np.ndarray, functions: int, deviations: float, seed: int, probes: int) -> Hashes:
+    """Functions whose cells are so many deviations of the sample wide."""
+    draw = np.random.default_rng(seed)
+    lines = draw.standard_normal((sample.shape[1], TABLES * functions))
+    along = sample @ lines
+    width = float(max(deviations * np.median(np.std(along, axis=0)), 1e-9))
+    # One wall of each function goes through the middle of the sample.
+    shifts = -np.median(along, axis=0) + np.where(draw.random(TABLES * functions) < 0.5, 0.0, 0.5) * width * 0.1
+    return Hashes(lines, shifts, width, TABLES, probes)
+
+
+def _needed(hashes: Hashes, sample: np.ndarray, queries: np.ndarray, near: np.ndarray, limit: int) -> int:
+    """Probes a table that meet ``RECALL`` of the neighbours ``near``; more than ``limit`` if those don't."""
     ids = bucket_ids(hashes.cells(sample)[0])
     # At which probe does a table first turn up each neighbour? Twice as many probes until enough are met.
-    most, limit = 16, min(3**functions, 4096)
+    most = 16
     while True:
-        first = np.full((len(queries), k), limit + 1, np.int64)
+        first = np.full(near.shape, limit + 1, np.int64)
         for row, t, visited in probed(hashes, queries, most):
             order = {int(b): p for p, b in reversed(list(enumerate(visited)))}
             for j, other in enumerate(near[row]):
                 first[row, j] = min(first[row, j], order.get(int(ids[other, t]), limit + 1))
         needed = int(np.sort(first.ravel())[math.ceil(RECALL * first.size) - 1]) + 1
         if needed <= limit or most >= limit:
-            return Hashes(lines, shifts, width, TABLES, min(limit, needed))
+            return needed
         most *= 2
 
 

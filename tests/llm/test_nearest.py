@@ -75,3 +75,19 @@ def test_few_rows(spark):
     assert nearest.neighbours(spark.createDataFrame([(0, [1.0], 1)], schema)).count() == 0
     got = nearest.neighbours(spark.createDataFrame([(0, [1.0], 1), (5, [3.0], 1), (7, [2.0], 1)], schema)).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [(0, 1, 7, 1.0), (0, 2, 5, 2.0)]
+
+
+@pytest.mark.parametrize("total", [10**8, 10**4])
+def test_probes_meet_the_recall_however_many_vectors_there_are(monkeypatch, total):
+    """Coarser cells take over where the most probes allowed would miss neighbours."""
+    monkeypatch.setattr(nearest, "MEASURED", 8)
+    sample = np.random.default_rng(5).standard_normal((400, 64))
+    hashes = nearest.fitted(sample, total)
+    ids = nearest.bucket_ids(hashes.cells(sample)[0])
+    met = [set() for _ in range(8)]
+    for row, t, visited in nearest.probed(hashes, sample[:8]):
+        met[row] |= set(np.flatnonzero(np.isin(ids[:, t], visited)).tolist())
+    far = np.linalg.norm(sample[:8, None] - sample[None], axis=2)
+    near = [set(np.argsort(far[q])[1:11].tolist()) for q in range(8)]
+    assert hashes.probes <= 4096
+    assert sum(len(a & b) for a, b in zip(met, near)) >= 0.95 * 80
