@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import chat, line_quality, mixing, nearest, neighbours, packing, pii, secrets, simhash, toxicity
+from folioflow.llm import (
+    chat, line_quality, mixing, nearest, neighbours, packing, pii, repetition, secrets, simhash, toxicity,
+)
 from folioflow.llm.common import table
 from folioflow.llm.sql import ORACLE
 
@@ -57,6 +59,10 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.digest(repetition.found(repetition.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multiprobe_hashing": op1_multiprobe_hashing,
     "op2_line_frequency": op2_line_frequency,
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_residual_packing": op10_residual_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
