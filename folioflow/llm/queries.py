@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm import (
-    chat, line_quality, mixing, nearest, neighbours, packing, pii, repetition, secrets, simhash, toxicity, vector_codes,
+    chat, exact_search, line_quality, mixing, nearest, neighbours, packing, pii, repetition, secrets, simhash, toxicity, vector_codes,
 )
 from folioflow.llm.common import table
 from folioflow.llm.sql import ORACLE
@@ -59,6 +59,10 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top(table(spark, sf_dir, "embeddings"))
+
+
 def op12_integer_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digest(table(spark, sf_dir, "embeddings"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_residual_packing": op10_residual_packing,
+    "op11_kd_trees": op11_kd_trees,
     "op12_integer_codes": op12_integer_codes,
     "op13_periodic_runs": op13_periodic_runs,
 }
