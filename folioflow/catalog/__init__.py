@@ -1,6 +1,8 @@
 """Every query of the engine on the given tables, and the SQL that states what it must return."""
 
-from folioflow.catalog import guide_queries, invoice_queries, listing_queries, operations_queries, stream_queries
+from folioflow.catalog import (
+    guide_queries, invoice_queries, landed_queries, listing_queries, operations_queries, stream_queries,
+)
 
 QUERIES = {
     **listing_queries.QUERIES,
@@ -8,6 +10,7 @@ QUERIES = {
     **invoice_queries.QUERIES,
     **operations_queries.QUERIES,
     **stream_queries.QUERIES,
+    **landed_queries.QUERIES,
 }
 ORACLE = {
     **listing_queries.ORACLE,
@@ -15,4 +18,5 @@ ORACLE = {
     **invoice_queries.ORACLE,
     **operations_queries.ORACLE,
     **stream_queries.ORACLE,
+    **landed_queries.ORACLE,
 }

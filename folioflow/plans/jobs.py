@@ -35,12 +35,13 @@ class Folders:
 def companion_records(spark: SparkSession, folder: str, pdfs: DataFrame) -> DataFrame:
     """Text records of the given PDFs, one for each name compared without case: the first by path.
 
-    Names are matched on the listing; files outside the hits' range of write times are not opened.
+    Names are matched on the listing, and only the hits are opened.
     """
     needed = guides.with_names(pdfs).select(fold_case(F.col("companion")).alias("_name")).distinct()
     listed = non_empty(list_files(spark, folder, TXT_FILES))
     hits = listed.withColumn("_name", fold_case(file_name(F.col("path")))).join(needed, "_name", "left_semi")
-    return read_documents(spark, folder, TXT_FILES, keep_first(hits, ["_name"], [F.col("path")]))
+    documents = read_documents(spark, folder, TXT_FILES, keep_first(hits, ["_name"], [F.col("path")]))
+    return documents.where("value is not null")
 
 
 def register_guides(

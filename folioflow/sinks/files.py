@@ -9,25 +9,29 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.names import file_name
 from folioflow.operators.alerts import loggable
+from folioflow.sinks.copies import copy_files
 from folioflow.sources.landing import PDF_FILES, read_content
+from folioflow.sources.stores import reachable
 
 DEFAULT_LOG_PREFIX = "errors"
 
 
 def copy_routed(spark: SparkSession, accepted: DataFrame, pdf_folder: str, target: str, batch_id: str) -> DataFrame:
-    """Copy the PDFs of accepted guides to ``target``, partitioned by route; returns those copied.
+    """Copy the PDFs of accepted guides to the folder of their route below ``target``; returns those copied.
 
-    Guides whose PDF could not be read are not in the result and must not be registered.
+    Guides whose PDF could not be copied are not in the result and must not be registered. Where tasks
+    can't open files themselves, contents go to a table of the batch instead, partitioned by route.
     """
-    contents = read_content(spark, pdf_folder, PDF_FILES, accepted, "route")
-    out = f"{target.rstrip('/')}/copy={batch_id}"
-    (
-        contents.select("route", "path", file_name(F.col("path")).alias("name"), "content")
-        .write.mode("overwrite").partitionBy("route").parquet(out)
-    )
-    schema = "path string, name string, content binary, route string"
-    copied = spark.read.schema(schema).parquet(out).select("path")
-    return accepted.join(copied, "path", "left_semi")
+    if reachable(pdf_folder) and reachable(target):
+        place = F.concat_ws("/", F.lit(target.rstrip("/")), F.col("route"), file_name(F.col("path")))
+        copied = copy_files(accepted.select("path", place.alias("target"), "length")).where("error is null")
+    else:
+        contents = read_content(spark, pdf_folder, PDF_FILES, accepted, "route")
+        out = f"{target.rstrip('/')}/copy={batch_id}"
+        named = contents.select("route", "path", file_name(F.col("path")).alias("name"), "content")
+        named.write.mode("overwrite").partitionBy("route").parquet(out)
+        copied = spark.read.schema("path string, name string, content binary, route string").parquet(out)
+    return accepted.join(copied.select("path"), "path", "left_semi")
 
 
 def write_quarantine(rows: DataFrame, target: str, batch_id: str) -> None:

@@ -80,6 +80,14 @@ class InvoiceRegistry(Ledger):
     def lines(self) -> DataFrame:
         return self.stored("lines")
 
+    def add(self, batch_id: str, headers: DataFrame, as_of: dt.datetime) -> bool:
+        """Take over headers registered elsewhere, without lines."""
+        if self.committed(batch_id):
+            return False
+        self.write("headers", batch_id, headers)
+        self.commit(batch_id, as_of)
+        return True
+
     def append(self, batch_id: str, accepted: DataFrame, as_of: dt.datetime) -> bool:
         """Add accepted documents whose file is neither registered nor twice in the batch."""
         if self.committed(batch_id):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.times import moment
 from folioflow.operators.skew import broadcast_if_small
+from folioflow.sources.contents import read_files, read_texts
+from folioflow.sources.stores import reachable
 
 # Globs are case-sensitive; file names on the landing share are not.
 PDF_FILES = "*.[pP][dD][fF]"
@@ -61,9 +63,16 @@ def stream_files(
 def read_content(spark: SparkSession, folder: str, glob: str, wanted: DataFrame, *extra: str) -> DataFrame:
     """``path, content`` of the wanted files (a listing, paths unique), with ``extra`` columns of it.
 
-    The write-time range of the wanted files is pushed into the scan, so files outside it are not
-    opened. A short list is broadcast and the contents do not move; a long one is joined by path.
+    Tasks open exactly these files. Where only Spark's own file systems know the folder's scheme, the folder
+    is scanned instead: the write-time range of the wanted files is pushed into the scan, so files outside
+    it are not opened. Files that are gone or can't be opened are left out.
     """
+    if reachable(folder):
+        return read_files(wanted, *extra).where("content is not null").drop("error")
+    return _scanned(spark, folder, glob, wanted, *extra)
+
+
+def _scanned(spark: SparkSession, folder: str, glob: str, wanted: DataFrame, *extra: str) -> DataFrame:
     bounds = wanted.agg(F.min("modificationTime").alias("a"), F.max("modificationTime").alias("b")).first()
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
     if bounds["a"] is not None:
@@ -75,5 +84,11 @@ def read_content(spark: SparkSession, folder: str, glob: str, wanted: DataFrame,
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str, wanted: DataFrame) -> DataFrame:
-    """``path, value``: the wanted files as whole texts, so lines keep their order."""
-    return read_content(spark, folder, glob, wanted).select("path", F.col("content").cast("string").alias("value"))
+    """``path, value``: the wanted files as whole texts, so lines keep their order.
+
+    Byte order marks are heeded. A file that is gone or can't be opened has a null value: no document.
+    """
+    if reachable(folder):
+        return read_texts(wanted).drop("error")
+    content = _scanned(spark, folder, glob, wanted)
+    return content.select("path", F.col("content").cast("string").alias("value"))

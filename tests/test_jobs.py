@@ -48,6 +48,11 @@ def table(guides):
     return {row["greName"]: row for row in guides.read().collect()}
 
 
+def copied(landing):
+    root = landing.root / "routed"
+    return {(f.parent.name, f.name): f.read_bytes() for f in root.rglob("*") if f.is_file() and f.suffix != ".crc"}
+
+
 def test_happy_path(spark, guides, landing):
     landing.guide()
     assert register(spark, guides, landing) == {"20990011224-09-T001-00204617.pdf": ("accepted", None)}
@@ -55,10 +60,7 @@ def test_happy_path(spark, guides, landing):
     assert (row["greName"], row["delivery"], row["city"], row["stateCode"]) == ("GR-0T001-0204617", "8300456789", 15, "LI")
     assert (row["motivoTraslado"], row["Auditoria_Deleted"]) == (3, False)
     assert row["fechaInicioTraslado"] == dt.datetime(2026, 4, 7)
-    copied = spark.read.parquet(landing.folders.routed).collect()
-    assert [(c["route"], c["name"], bytes(c["content"])) for c in copied] == [
-        ("dirEcommerce", "20990011224-09-T001-00204617.pdf", b"%PDF T001 0204617")
-    ]
+    assert copied(landing) == {("dirEcommerce", "20990011224-09-T001-00204617.pdf"): b"%PDF T001 0204617"}
 
 
 def test_routes_and_states(spark, guides, landing):
@@ -72,9 +74,9 @@ def test_routes_and_states(spark, guides, landing):
         path = landing.guide(number, **fields)
         wanted[number] = (path.rsplit("/", 1)[1], route, state)
     register(spark, guides, landing)
-    copied = {r["name"]: r["route"] for r in spark.read.parquet(landing.folders.routed).collect()}
+    routes = {name: route for route, name in copied(landing)}
     states = {name[-7:]: row["stateCode"] for name, row in table(guides).items()}
-    assert {n: (name, copied[name], states[n]) for n, (name, _, _) in wanted.items()} == wanted
+    assert {n: (name, routes[name], states[n]) for n, (name, _, _) in wanted.items()} == wanted
 
 
 def test_rejected_guides_leave_nothing(spark, guides, landing):
