@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 from folioflow.catalog import guide_queries as gq
 from folioflow.catalog import synthetic as syn
 from folioflow.catalog.listing_queries import sql_time, text_time
-from folioflow.functions.names import companion_of_pdf, file_name, relative_to
+from folioflow.functions.names import companion_of_pdf, file_name
 from folioflow.functions.text import fold_case
 from folioflow.functions.times import seconds_of
 from folioflow.operators import reconcile
 from folioflow.operators.listing import non_empty
-from folioflow.plans.jobs import DailyRun, Folders, companion_records, folder_root, register_guides, register_invoices
+from folioflow.plans.jobs import DailyRun, Folders, companion_records, register_guides, register_landed_invoices
 from folioflow.schemas import GUIDE_SCHEMA, HEADER_SCHEMA
 from folioflow.session import scratch_path
 from folioflow.sinks.copies import write_files
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry
 from folioflow.sources.contents import read_files, read_texts
-from folioflow.sources.landing import PDF_FILES, TXT_FILES, XML_FILES, list_files, read_documents
+from folioflow.sources.landing import PDF_FILES, TXT_FILES, XML_FILES, list_files
 from folioflow.streaming import ingest
 
 AS_OF = gq.AS_OF
@@ -127,12 +127,9 @@ def landed_invoices(spark: SparkSession, folder: str) -> DataFrame:
     """Both invoice tables after landed files went through the job, twice."""
     folders = land(spark, folder, ("xml",))
     registry = _invoice_registry(spark, folder)
-    root = folder_root(spark, folders.xml)
     listed = list_files(spark, folders.xml, XML_FILES)
     for batch_id in ("b1", "b2"):
-        documents = read_documents(spark, folders.xml, XML_FILES, listed)
-        documents = documents.withColumn("name_file", relative_to(F.col("path"), root))
-        register_invoices(registry, documents, AS_OF, batch_id)
+        register_landed_invoices(registry, listed, folders.xml, AS_OF, batch_id)
     return _registered_invoices(registry)
 
 
@@ -153,9 +150,16 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     return run.run(AS_OF)
 
 
+def indexed_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Which PDFs are registered, asked of a registry's key index."""
+    known = _guide_registry(spark, folder).known
+    pdfs = reconcile.with_guide_keys(syn.pdf_listing(syn.orders(spark, folder)))
+    return reconcile.mark_registered(pdfs, F.col("guide_key"), known).select("path", "registered")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (read_wanted_files, routed_files, landed_guides, landed_invoices, stream_landed_invoices, daily_run)
+    for f in (indexed_check, read_wanted_files, routed_files, landed_guides, landed_invoices, stream_landed_invoices, daily_run)
 }
 
 _BY_WRITE_TIME = gq._GUIDES.replace("least(mtime, coalesce(ctime, mtime)) as effective", "mtime as effective")
@@ -174,6 +178,7 @@ select upper('/01_INV_F113_' || lpad(o_orderkey::varchar, 12, '0') || '.xml'), n
 from orders where o_orderstatus = 'F'"""
 
 ORACLE = {
+    "indexed_check": gq.ORACLE["registered_check"],
     "read_wanted_files": f"""
 with {syn.PDF_KEYS_SQL}, {syn.TXT_SQL}, {syn.REGISTERED_SQL}
 select lower(regexp_extract(path, '[^/]*$')) as name, length(value) as characters, md5(value) as md5, null::varchar as error

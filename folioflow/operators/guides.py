@@ -12,8 +12,9 @@ from folioflow.functions.numbers import loose_timestamp, whole_number
 from folioflow.functions.records import attribute, index_records, labelled_value, missing_attributes, missing_labels
 from folioflow.functions.text import fold_case, is_blank
 from folioflow.functions.times import moment
-from folioflow.operators.reconcile import mark_registered
+from folioflow.operators.reconcile import Keys, mark_registered
 from folioflow.operators.skew import keep_first, mark_winner, spread_nulls
+from folioflow.session import cut_lineage
 from folioflow.schemas import (
     ATTRIBUTE_KEYS, DEPARTMENTS, DESCRIPTION_LABELS, ROUTE_DEFAULT, ROUTE_SERIE_T004, ROUTE_THIRD_PARTY,
     THIRD_PARTY_SALE,
@@ -113,10 +114,10 @@ def judge(guides: DataFrame) -> DataFrame:
     return guides.withColumn("reason", reason).withColumn("status", status)
 
 
-def evaluate(pdfs: DataFrame, records: DataFrame, keys: DataFrame) -> DataFrame:
+def evaluate(pdfs: DataFrame, records: DataFrame, keys: Keys) -> DataFrame:
     """PDF listing and text records to judged guides, one row per PDF.
 
-    ``keys`` are the registered keys as of the start of the batch (``registered_keys``). The key
+    ``keys`` are the registered keys as of the start of the batch (``registered_keys``), or what finds them. The key
     from the file name is checked first, so the text of registered PDFs is never parsed.
     """
     named = mark_registered(with_names(pdfs), F.col("guide_key"), keys).withColumnRenamed(
@@ -124,7 +125,11 @@ def evaluate(pdfs: DataFrame, records: DataFrame, keys: DataFrame) -> DataFrame:
     )
     wanted = named.withColumn("companion", F.when(~F.col("key_registered"), F.col("companion")))
     joined = join_records(wanted, records).withColumn("companion", named_companion(F.col("path")))
-    checked = mark_registered(read_fields(joined), F.col("gre_name"), keys).withColumnRenamed(
+    fields = read_fields(joined)
+    if callable(keys):
+        # Names are looked up and then joined: the texts are parsed once for both.
+        fields = cut_lineage(fields)
+    checked = mark_registered(fields, F.col("gre_name"), keys).withColumnRenamed(
         "registered", "content_registered"
     )
     return decode_state(judge(checked)).withColumn("route", route(F.col("motive"), F.col("Serie")))

@@ -16,7 +16,7 @@ from folioflow.operators.attempts import (
     DEFAULT_MAX_ATTEMPTS, attempt_rows, number_attempts, quarantine_rows,
 )
 from folioflow.operators.listing import distinct_paths, from_day, non_empty, with_effective_time
-from folioflow.operators.reconcile import not_registered, pending_guides, pending_invoices, registered_keys
+from folioflow.operators.reconcile import not_registered, pending_guides, pending_invoices
 from folioflow.operators.skew import keep_first
 from folioflow.session import cut_lineage
 from folioflow.sinks.files import copy_routed, quarantined_before, write_quarantine
@@ -55,9 +55,8 @@ def register_guides(
     anything is registered. ``outcomes`` is the folder of the attempt log.
     """
     spark = registry.spark
-    keys = registered_keys(registry.keys(), "greName")
     arrivals = with_effective_time(distinct_paths(non_empty(pdfs)))
-    judged = cut_lineage(guides.evaluate(arrivals, records, keys))
+    judged = cut_lineage(guides.evaluate(arrivals, records, registry.known))
     if registry.committed(batch_id):
         return judged
     log_attempts(judged, outcomes, batch_id, as_of)
@@ -71,10 +70,30 @@ def register_guides(
 def register_invoices(
     registry: InvoiceRegistry, documents: DataFrame, as_of: dt.datetime, batch_id: str, outcomes: str | None = None
 ) -> DataFrame:
-    """Parse a batch of invoice files (``path, name_file, value``) and register the valid ones."""
-    keys = registered_keys(registry.headers(), "NameFile")
-    wanted = not_registered(documents, F.col("name_file"), keys)
-    judged = cut_lineage(invoices.evaluate(wanted))
+    """Parse a batch of invoice documents (``path, name_file, value``) and register the valid ones."""
+    # The documents are looked at twice, for their names and then for what is in them.
+    wanted = not_registered(cut_lineage(documents), F.col("name_file"), registry.known)
+    return _register_wanted(registry, wanted, as_of, batch_id, outcomes)
+
+
+def register_landed_invoices(
+    registry: InvoiceRegistry, files: DataFrame, folder: str, as_of: dt.datetime, batch_id: str, outcomes: str | None = None
+) -> DataFrame:
+    """Register the files of a listing. Registered ones go by their names; only the others are opened."""
+    root = folder_root(registry.spark, folder)
+    listed = non_empty(files).withColumn("name_file", relative_to(F.col("path"), root))
+    wanted = cut_lineage(not_registered(listed, F.col("name_file"), registry.known))
+    return _register_wanted(registry, _documents(registry.spark, folder, wanted, root), as_of, batch_id, outcomes)
+
+
+def _documents(spark: SparkSession, folder: str, wanted: DataFrame, root: str) -> DataFrame:
+    return read_documents(spark, folder, XML_FILES, wanted).withColumn("name_file", relative_to(F.col("path"), root))
+
+
+def _register_wanted(
+    registry: InvoiceRegistry, documents: DataFrame, as_of: dt.datetime, batch_id: str, outcomes: str | None = None
+) -> DataFrame:
+    judged = cut_lineage(invoices.evaluate(documents))
     if not registry.committed(batch_id):
         log_attempts(judged, outcomes, batch_id, as_of)
         registry.append(batch_id, first_of_each_file(judged.where(F.col("status") == "accepted")), as_of)
@@ -138,8 +157,7 @@ class DailyRun:
 
     def _guides(self, as_of, only_today, max_files, skip_registered):
         listed = self._candidates(self.folders.pdf, PDF_FILES, as_of, only_today)
-        registered = self.guide_registry.keys()
-        known = registered if skip_registered else registered.limit(0)
+        known = self.guide_registry.known if skip_registered else self.guide_registry.keys().limit(0)
         pending = cut_lineage(pending_guides(listed, known, max_files))
         judged = register_guides(
             self.guide_registry, pending.drop("guide_key", "effective_time"),
@@ -150,14 +168,11 @@ class DailyRun:
 
     def _invoices(self, as_of, only_today, max_files, skip_registered):
         listed = self._candidates(self.folders.xml, XML_FILES, as_of, only_today)
-        headers = self.invoice_registry.headers()
-        known = headers if skip_registered else headers.limit(0)
+        known = self.invoice_registry.known if skip_registered else self.invoice_registry.headers().limit(0)
         root = folder_root(self.spark, self.folders.xml)
         pending = cut_lineage(pending_invoices(listed, known, root, max_files))
-        documents = read_documents(self.spark, self.folders.xml, XML_FILES, pending).withColumn(
-            "name_file", relative_to(F.col("path"), root)
-        )
-        judged = register_invoices(
+        documents = _documents(self.spark, self.folders.xml, pending, root)
+        judged = _register_wanted(
             self.invoice_registry, documents, as_of, f"daily-invoice-{as_of:%Y%m%dT%H%M%S}"
         )
         return self._counts(pending, judged)

@@ -13,10 +13,11 @@ from folioflow.operators.guides import superseded
 from folioflow.operators.invoices import header_rows, line_rows
 from folioflow.operators.skew import keep_first
 from folioflow.schemas import GUIDE_SCHEMA, HEADER_SCHEMA, LINE_SCHEMA
-from folioflow.sinks.ledger import Ledger, partition_name
+from folioflow.sinks.key_index import INDEX_TABLES, KeyIndex
+from folioflow.sinks.ledger import partition_name
 
 
-class GuideRegistry(Ledger):
+class GuideRegistry(KeyIndex):
     """Guides plus the marks that void them.
 
     Voiding adds a row to ``voids`` and rewrites nothing; readers merge the two, and
@@ -26,7 +27,7 @@ class GuideRegistry(Ledger):
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(
             spark, root,
-            {"guides": f"row_id string, {GUIDE_SCHEMA}", "voids": "row_id string, voided_at timestamp_ntz"},
+            {"guides": f"row_id string, {GUIDE_SCHEMA}", "voids": "row_id string, voided_at timestamp_ntz", **INDEX_TABLES},
         )
 
     def keys(self) -> DataFrame:
@@ -55,6 +56,7 @@ class GuideRegistry(Ledger):
             return False
         row_id = F.concat(F.lit(f"{partition_name(batch_id)}/"), fold_case(F.col("greName")))
         self.write("guides", batch_id, rows.withColumn("row_id", row_id))
+        self.write_names(batch_id, rows.select("greName"))
         added = self.spark.read.schema(self.tables["guides"]).parquet(self._directory("guides", batch_id))
         voids = superseded(self.read_rows(), added).select("row_id", moment(as_of).alias("voided_at"))
         self.write("voids", batch_id, voids)
@@ -64,15 +66,16 @@ class GuideRegistry(Ledger):
     def snapshot(self, name: str, as_of: dt.datetime) -> None:
         """Write the merged table to a directory of its own; readers go on from it."""
         self.write("guides", name, self.read_rows())
+        self.write_names(name, self.names().select("key"))
         self.write("voids", name, self.spark.createDataFrame([], self.tables["voids"]))
         self.commit(name, as_of, kind="snapshot")
 
 
-class InvoiceRegistry(Ledger):
+class InvoiceRegistry(KeyIndex):
     """Invoice headers and their lines. Lines are written first; the commit shows both at once."""
 
     def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root, {"lines": LINE_SCHEMA, "headers": HEADER_SCHEMA})
+        super().__init__(spark, root, {"lines": LINE_SCHEMA, "headers": HEADER_SCHEMA, **INDEX_TABLES})
 
     def headers(self) -> DataFrame:
         return self.stored("headers")
@@ -85,6 +88,7 @@ class InvoiceRegistry(Ledger):
         if self.committed(batch_id):
             return False
         self.write("headers", batch_id, headers)
+        self.write_names(batch_id, headers.select("NameFile"))
         self.commit(batch_id, as_of)
         return True
 
@@ -94,6 +98,7 @@ class InvoiceRegistry(Ledger):
             return False
         self.write("lines", batch_id, line_rows(accepted))
         self.write("headers", batch_id, header_rows(accepted))
+        self.write_names(batch_id, accepted.select("name_file"))
         self.commit(batch_id, as_of)
         return True
 

@@ -14,17 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from folioflow.functions.names import relative_to
 from folioflow.functions.text import fold_case
 from folioflow.operators.guides import pdfs_of_arrived_records
 from folioflow.operators.listing import non_empty
-from folioflow.operators.reconcile import not_registered, registered_keys
-from folioflow.plans.jobs import Folders, companion_records, folder_root, register_guides, register_invoices
+from folioflow.plans.jobs import Folders, companion_records, register_guides, register_landed_invoices
 from folioflow.session import cut_lineage
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry
-from folioflow.sources.landing import (
-    PDF_FILES, TXT_FILES, XML_FILES, list_files, read_documents, stream_files,
-)
+from folioflow.sources.landing import PDF_FILES, TXT_FILES, XML_FILES, list_files, stream_files
 
 Clock = Callable[[], dt.datetime]
 
@@ -75,16 +71,9 @@ def invoices_from_files(
 ) -> StreamingQuery:
     """Register invoices as their XML files land; ``outcomes`` is the folder of the attempt log."""
     spark = registry.spark
-    root = folder_root(spark, folders.xml)
 
     def batch(files: DataFrame, number: int) -> None:
-        # Registered files go by their names, before any content is read.
-        listed = non_empty(files).withColumn("name_file", relative_to(F.col("path"), root))
-        keys = registered_keys(registry.headers(), "NameFile")
-        wanted = cut_lineage(not_registered(listed, F.col("name_file"), keys).drop("name_file"))
-        documents = read_documents(spark, folders.xml, XML_FILES, wanted)
-        documents = documents.withColumn("name_file", relative_to(F.col("path"), root))
-        register_invoices(registry, documents, clock(), f"{name}-{number}", outcomes)
+        register_landed_invoices(registry, cut_lineage(files), folders.xml, clock(), f"{name}-{number}", outcomes)
 
     stream = stream_files(spark, folders.xml, XML_FILES, max_files)
     return _start(stream.writeStream.foreachBatch(batch), checkpoint, every)
