@@ -8,6 +8,11 @@ and second, which are aggregated before the shuffle; and what one day hands on t
 the second from which a batch may open, one of window + throttle + 1 values. Each day is therefore
 solved for all of them on its own, the days are linked through these small tables, and then each
 day writes its batches.
+
+Without throttle nothing is dropped, and the next batch opens at the event after the last. Then a block is
+a stretch of events instead of a day: a batch takes at most so many events, so the first of a block opens at
+one of as many places, and what a block hands on is again a small table. Tables of neighbouring blocks are
+composed in groups, groups of groups and so on, so no task ever sees all blocks of a channel.
 """
 
 from __future__ import annotations
@@ -20,11 +25,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.times import seconds_of
-from folioflow.operators.skew import in_blocks, run_length
+from folioflow.operators.skew import in_blocks, run_length, running_total
 from folioflow.schemas import LEVELS
+from folioflow.session import cut_lineage
 
 DAY = 86_400
 BUFFER_CAPACITY = 500
+#: Events of a block when there is no throttle, and blocks whose tables are composed at a time.
+BLOCK_EVENTS, FAN = 50_000, 64
 
 
 @dataclass(frozen=True)
@@ -134,25 +142,127 @@ def _throttled_batches(key: tuple, cells: pd.DataFrame, rules: AlertRules) -> pd
     return pd.DataFrame(rows, columns=[part.split()[0] for part in _SEGMENTS.split(", ")])
 
 
-def _unthrottled_batches(key: tuple, cells: pd.DataFrame, rules: AlertRules) -> pd.DataFrame:
-    """Batches of one channel when nothing is dropped: the next event opens the next batch."""
+def _block_size(rules: AlertRules) -> int:
+    return max(BLOCK_EVENTS, rules.waits[1])
+
+
+def _cells_by_rank(counts: DataFrame, rules: AlertRules) -> DataFrame:
+    """Seconds by blocks of events: ``channel, block, second, offset, events``.
+
+    A block owns so many events of its channel and sees as many of the next block as a batch may take. A
+    second that lies in several blocks is in each of them with the events it has there; ``offset`` of its
+    events lie in earlier blocks.
+    """
+    size, full = _block_size(rules), rules.waits[1]
+    parts = in_blocks(counts, ["channel", "second"])
+    placed = running_total(parts, "channel", ["second"], "events", "first").drop("block")
+    end = F.col("first") + F.col("events")
+    lowest = F.greatest(F.lit(0), F.floor((F.col("first") - full) / size)).cast("long")
+    placed = placed.withColumn("block", F.explode(F.sequence(lowest, F.floor((end - 1) / size).cast("long"))))
+    start = F.greatest(F.col("first"), F.col("block") * size)
+    stop = F.least(end, (F.col("block") + 1) * size + full)
+    cells = placed.select("channel", "block", "second", (start - F.col("first")).alias("offset"), (stop - start).alias("events"))
+    return cells.where("events > 0")
+
+
+def _next_batch(cells: pd.DataFrame, rules: AlertRules) -> tuple[np.ndarray, np.ndarray]:
+    """Second of every event of a block, and the event after the batch that would open there."""
+    window, full, _ = rules.waits
+    seconds = np.repeat(cells["second"].to_numpy(), cells["events"].to_numpy())
+    at = np.arange(len(seconds))
+    return seconds, (at + 1 if window == 0 else np.minimum(at + full, np.searchsorted(seconds, seconds + window)))
+
+
+def _rank_links(key: tuple, cells: pd.DataFrame, rules: AlertRules, size: int) -> pd.DataFrame:
+    """For every event a block may be entered at: the event the next block is entered at."""
+    full = rules.waits[1]
+    seconds, after = _next_batch(cells.sort_values("second"), rules)
+    owned = min(len(seconds), size)
+    # Events past the block stay where they are; each round doubles the batches that are skipped.
+    reach = np.arange(max(len(seconds), size + full) + 1)
+    reach[:owned] = after[:owned]
+    while (reach[:owned] < owned).any():
+        reach = reach[reach]
+    return pd.DataFrame({"channel": [key[0]], "block": [key[1]], "exits": [np.clip(reach[:full] - size, 0, full - 1).tolist()]})
+
+
+def _composed(key: tuple, links: pd.DataFrame) -> pd.DataFrame:
+    """The table of neighbouring blocks taken as one."""
+    tables = [np.asarray(exits) for exits in links.sort_values("block")["exits"]]
+    through = tables[0]
+    for table in tables[1:]:
+        through = table[through]
+    return pd.DataFrame({"channel": [key[0]], "block": [key[1]], "exits": [through.tolist()]})
+
+
+def _followed(links: pd.DataFrame) -> pd.DataFrame:
+    """Where each of neighbouring blocks is entered, given where the first is."""
+    links = links.sort_values("block")
+    at, entries = int(links["entry"].iloc[0]), []
+    for exits in links["exits"]:
+        entries.append(at)
+        at = int(exits[at])
+    return pd.DataFrame({"channel": links["channel"], "block": links["block"], "entry": entries})
+
+
+def _rank_entries(links: DataFrame) -> DataFrame:
+    """``channel, block, entry``: where the first batch of every block opens."""
+    last = links.agg(F.max("block")).first()[0] or 0
+    levels = [links]
+    up = F.floor(F.col("block") / FAN).cast("long").alias("up")
+    while last > 0:
+        grouped = levels[-1].select("channel", up, "block", "exits").groupBy("channel", "up")
+        levels.append(cut_lineage(grouped.applyInPandas(_composed, "channel string, block long, exits array<long>")))
+        last //= FAN
+    entries = levels.pop().select("channel", "block", F.lit(0).cast("long").alias("entry"))
+    for lower in reversed(levels):
+        above = entries.withColumnRenamed("block", "up")
+        joined = lower.select("channel", up, "block", "exits").withColumnRenamed("channel", "_channel")
+        met = F.col("channel").eqNullSafe(F.col("_channel")) & (joined["up"] == above["up"])
+        joined = joined.join(above, met).select("channel", above["up"], "block", "exits", "entry")
+        entries = joined.groupBy("channel", "up").applyInPandas(_followed, "channel string, block long, entry long")
+    return entries
+
+
+def _rank_batches(key: tuple, cells: pd.DataFrame, rules: AlertRules, size: int) -> pd.DataFrame:
+    """Batches that open in one block: the next event opens the next batch."""
     window, full, _ = rules.waits
     cells = cells.sort_values("second")
-    seconds, counts = cells["second"].to_numpy(), cells["events"].to_numpy()
-    rows = []
-    at, used = 0, 0
-    while at < len(seconds):
-        opened, opened_rank, left = seconds[at], used, 1 if window == 0 else full
-        taken = []
-        while at < len(seconds) and left and (seconds[at] < opened + window or not taken):
-            take = int(min(left, counts[at] - used))
-            taken.append((seconds[at], used, used + take))
-            left, used = left - take, used + take
-            if used == counts[at]:
-                at, used = at + 1, 0
-        sent = taken[-1][0] if not left else opened + window
-        rows += [(key[0], second, opened, opened_rank, sent, first, end) for second, first, end in taken]
-    return pd.DataFrame(rows, columns=[part.split()[0] for part in _SEGMENTS.split(", ")])
+    seconds, after = _next_batch(cells, rules)
+    owned = min(len(seconds), size)
+    starts, at = [], int(cells["entry"].iloc[0])
+    while at < owned:
+        starts.append(at)
+        at = int(after[at])
+    begin = np.array(starts, np.int64)
+    # Pieces that lie in one batch and one second.
+    edges = np.r_[0, np.cumsum(cells["events"].to_numpy())]
+    cuts = np.unique(np.r_[begin, edges[(edges > begin[0]) & (edges < at)]]) if len(begin) else begin
+    batch = np.searchsorted(begin, cuts, side="right") - 1
+    cell = np.searchsorted(edges, cuts, side="right") - 1
+    rank = cells["offset"].to_numpy()[cell] - edges[cell]
+    opener = np.searchsorted(edges, begin, side="right") - 1
+    taken = after[begin] - begin
+    sent = np.where(taken >= (1 if window == 0 else full), seconds[after[begin] - 1], seconds[begin] + window)
+    return pd.DataFrame(
+        {
+            "channel": np.full(len(cuts), key[0], dtype=object), "second": seconds[cuts], "opened": seconds[begin][batch],
+            "opened_rank": (cells["offset"].to_numpy()[opener] + begin - edges[opener])[batch], "sent": sent[batch],
+            "from_rank": rank + cuts, "to_rank": rank + np.r_[cuts[1:], at][: len(cuts)],
+        }
+    )
+
+
+def _unthrottled_segments(counts: DataFrame, rules: AlertRules) -> DataFrame:
+    size = _block_size(rules)
+    cells = cut_lineage(_cells_by_rank(counts, rules))
+    links = cells.groupBy("channel", "block").applyInPandas(
+        lambda k, c: _rank_links(k, c, rules, size), "channel string, block long, exits array<long>"
+    )
+    entries = _rank_entries(cut_lineage(links)).withColumnRenamed("channel", "_channel")
+    met = F.col("channel").eqNullSafe(F.col("_channel")) & (cells["block"] == entries["block"])
+    entered = cells.join(entries, met).select("channel", cells["block"], "second", "offset", "events", "entry")
+    return entered.groupBy("channel", "block").applyInPandas(lambda k, c: _rank_batches(k, c, rules, size), _SEGMENTS)
 
 
 def counts_per_second(events: DataFrame) -> DataFrame:
@@ -165,7 +275,7 @@ def batch_segments(counts: DataFrame, rules: AlertRules = AlertRules()) -> DataF
         return counts.sparkSession.createDataFrame([], _SEGMENTS)
     window, _, throttle = rules.waits
     if throttle == 0:
-        return counts.groupBy("channel").applyInPandas(lambda k, c: _unthrottled_batches(k, c, rules), _SEGMENTS)
+        return _unthrottled_segments(counts, rules)
     # A batch opened late in a day reaches into the next: its first seconds go to both days.
     day = F.floor(F.col("second") / DAY).cast("long")
     reach = F.floor((F.col("second") - window) / DAY).cast("long")

@@ -86,3 +86,17 @@ def run_length(df: DataFrame, key: str, order: list[str], reset: Column, out: st
         .withColumn(out, F.col("_local") + F.when(F.col("_resets") == 0, F.col("_carry")).otherwise(0))
         .drop("_reset", "_resets", "_local", "_carry")
     )
+
+
+def running_total(df: DataFrame, key: str, order: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows of the same key that come before.
+
+    ``df`` comes from :func:`in_blocks` with ``key`` first in its order. Sums run inside (block, key); what
+    earlier blocks add comes from one row per block and key.
+    """
+    before = Window.partitionBy("block", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = df.withColumn("_before", F.coalesce(F.sum(value).over(before), F.lit(0)))
+    earlier = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy("block", key).agg(F.sum(value).alias("_sum"))
+    carried = totals.withColumn("_carry", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
+    return local.join(carried, ["block", key]).withColumn(out, F.col("_before") + F.col("_carry")).drop("_before", "_carry")
