@@ -11,8 +11,8 @@ from folioflow.catalog import operations_queries as ops
 from folioflow.catalog import synthetic as syn
 from folioflow.operators import alerts
 from folioflow.operators.alerts import AlertRules
-from folioflow.session import scratch_path
-from folioflow.streaming import ingest, stateful
+from folioflow.session import cut_lineage, scratch_path
+from folioflow.streaming import ingest, remainders, stateful
 
 LATENESS = 10
 STREAM_RULES = AlertRules(window=3600, max_batch=3, throttle=5400)
@@ -23,8 +23,14 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
-def drained(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Run a stream until its input is used up; its output, written to the shared folder."""
+def drained(
+    spark: SparkSession, name: str, build: Callable[[], DataFrame],
+    remainder: Callable[[SparkSession, str], DataFrame] | None = None,
+) -> DataFrame:
+    """Run a stream until its input is used up; its output, written to the shared folder.
+
+    ``remainder`` reads what the state still holds then, and is added to the output.
+    """
     out = scratch_path(spark, name)
     with stateful.rocksdb_state(spark):
         stream = build()
@@ -36,7 +42,9 @@ def drained(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> D
             .start(f"{out}/rows")
         )
         query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+        rows = spark.read.schema(stream.schema).parquet(f"{out}/rows")
+        # The state is read here, while the session names its kind of store.
+        return rows if remainder is None else rows.unionByName(cut_lineage(remainder(spark, f"{out}/state")))
 
 
 def stream_failed_attempts(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,6 +61,7 @@ def stream_alert_batches(spark: SparkSession, folder: str) -> DataFrame:
             alerts.alertable(syn.error_events(_stream(spark, folder)), syn.OWN_CATEGORY), STREAM_RULES,
             f"{LATENESS} seconds",
         ),
+        lambda session, state: remainders.open_batches(session, state, STREAM_RULES),
     )
     summary = alerts.batch_summary(rows)
     return summary.select(
@@ -72,12 +81,12 @@ def stream_distinct_arrivals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """Heartbeat counts per source and interval that the watermark has closed."""
+    """Heartbeat counts per source and interval, the last ones from what is still open."""
     def build() -> DataFrame:
         activity = syn.activity(_stream(spark, folder)).withColumn("arrived_at", F.col("arrived_at").cast("timestamp"))
         return stateful.arrivals_per_interval(activity, 60, "1 hour")
 
-    rows = drained(spark, "beats", build)
+    rows = drained(spark, "beats", build, remainders.open_intervals)
     return rows.select(
         "source", F.date_format("beat_at", "yyyy-MM-dd HH:mm:ss").alias("beat_at"), "arrived",
         ops.micro_time("last_arrival").alias("last_arrival"),
@@ -91,26 +100,12 @@ QUERIES = {
 
 ORACLE = {
     "stream_failed_attempts": ops.ORACLE["failed_attempts"],
-    # A batch still open when the input ends is not out yet, unless the watermark has passed its end.
-    "stream_alert_batches": f"""
-with recursive {ops.throttled_sql(STREAM_RULES)},
-finished as (
-  select b.*, count(*) over (partition by channel, opened) as size from batched b
-)
-select channel, opened, sent, count(*) as events, count(distinct category) as categories,
-  {ops.sql_micro_time('min(ts)')} as first_ts, {ops.sql_micro_time('max(ts)')} as last_ts
-from finished f
-where size = {STREAM_RULES.max_batch}
-  or exists (select 1 from alert a where a.channel = f.channel and a.second >= f.opened + {STREAM_RULES.window})
-  or (opened + {STREAM_RULES.window}) * 1000
-    <= (select epoch_ms(max(ts)) from alert) - {LATENESS * 1000}
-group by channel, opened, sent""",
+    "stream_alert_batches": f"with recursive {ops.throttled_sql(STREAM_RULES)} {ops._SUMMARY}",
     "stream_distinct_arrivals": """
 select distinct '/landing/xml/user_' || user_id::varchar || '.xml' as path_key from events""",
     "stream_arrivals": f"""
 select source, strftime(beat + interval 60 minutes, '%Y-%m-%d %H:%M:%S') as beat_at, count(*) as arrived,
   {ops.sql_micro_time('max(ts)')} as last_arrival
 from (select event_type as source, ts, time_bucket(interval '60 minutes', ts, timestamp '1970-01-01') as beat from events)
-where beat + interval 60 minutes <= (select max(ts) from events) - interval 1 hour
 group by source, beat""",
 }
