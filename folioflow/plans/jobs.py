@@ -55,6 +55,7 @@ def register_guides(
     anything is registered. ``outcomes`` is the folder of the attempt log.
     """
     spark = registry.spark
+    seen = registry.last_sequence()
     arrivals = with_effective_time(distinct_paths(non_empty(pdfs)))
     judged = cut_lineage(guides.evaluate(arrivals, records, registry.known))
     if registry.committed(batch_id):
@@ -63,7 +64,7 @@ def register_guides(
     accepted = guides.first_of_each_guide(judged.where(F.col("status") == "accepted"))
     if folders is not None:
         accepted = copy_routed(spark, accepted, folders.pdf, folders.routed, batch_id)
-    registry.append(batch_id, guides.guide_rows(guides.supersede_within(accepted), as_of), as_of)
+    registry.append(batch_id, guides.guide_rows(guides.supersede_within(accepted), as_of), as_of, seen)
     return judged
 
 
@@ -71,19 +72,21 @@ def register_invoices(
     registry: InvoiceRegistry, documents: DataFrame, as_of: dt.datetime, batch_id: str, outcomes: str | None = None
 ) -> DataFrame:
     """Parse a batch of invoice documents (``path, name_file, value``) and register the valid ones."""
+    seen = registry.last_sequence()
     # The documents are looked at twice, for their names and then for what is in them.
     wanted = not_registered(cut_lineage(documents), F.col("name_file"), registry.known)
-    return _register_wanted(registry, wanted, as_of, batch_id, outcomes)
+    return _register_wanted(registry, wanted, as_of, batch_id, seen, outcomes)
 
 
 def register_landed_invoices(
     registry: InvoiceRegistry, files: DataFrame, folder: str, as_of: dt.datetime, batch_id: str, outcomes: str | None = None
 ) -> DataFrame:
     """Register the files of a listing. Registered ones go by their names; only the others are opened."""
+    seen = registry.last_sequence()
     root = folder_root(registry.spark, folder)
     listed = non_empty(files).withColumn("name_file", relative_to(F.col("path"), root))
     wanted = cut_lineage(not_registered(listed, F.col("name_file"), registry.known))
-    return _register_wanted(registry, _documents(registry.spark, folder, wanted, root), as_of, batch_id, outcomes)
+    return _register_wanted(registry, _documents(registry.spark, folder, wanted, root), as_of, batch_id, seen, outcomes)
 
 
 def _documents(spark: SparkSession, folder: str, wanted: DataFrame, root: str) -> DataFrame:
@@ -91,12 +94,13 @@ def _documents(spark: SparkSession, folder: str, wanted: DataFrame, root: str) -
 
 
 def _register_wanted(
-    registry: InvoiceRegistry, documents: DataFrame, as_of: dt.datetime, batch_id: str, outcomes: str | None = None
+    registry: InvoiceRegistry, documents: DataFrame, as_of: dt.datetime, batch_id: str, seen: int,
+    outcomes: str | None = None,
 ) -> DataFrame:
     judged = cut_lineage(invoices.evaluate(documents))
     if not registry.committed(batch_id):
         log_attempts(judged, outcomes, batch_id, as_of)
-        registry.append(batch_id, first_of_each_file(judged.where(F.col("status") == "accepted")), as_of)
+        registry.append(batch_id, first_of_each_file(judged.where(F.col("status") == "accepted")), as_of, seen)
     return judged
 
 
@@ -167,13 +171,14 @@ class DailyRun:
         return self._counts(pending, judged)
 
     def _invoices(self, as_of, only_today, max_files, skip_registered):
+        seen = self.invoice_registry.last_sequence()
         listed = self._candidates(self.folders.xml, XML_FILES, as_of, only_today)
         known = self.invoice_registry.known if skip_registered else self.invoice_registry.headers().limit(0)
         root = folder_root(self.spark, self.folders.xml)
         pending = cut_lineage(pending_invoices(listed, known, root, max_files))
         documents = _documents(self.spark, self.folders.xml, pending, root)
         judged = _register_wanted(
-            self.invoice_registry, documents, as_of, f"daily-invoice-{as_of:%Y%m%dT%H%M%S}"
+            self.invoice_registry, documents, as_of, f"daily-invoice-{as_of:%Y%m%dT%H%M%S}", seen
         )
         return self._counts(pending, judged)
 

@@ -3,17 +3,22 @@
 A batch writes its rows to directories of its own and then one row to the commit log. Readers
 take only what the log names, so a job that died half way leaves nothing behind that anyone sees,
 running a batch again overwrites its own directories, and a committed batch is not run twice.
-One writer per ledger is assumed.
+
+Several writers may commit. A commit first claims the next number by creating a file that must not exist yet, so
+numbers are unique; it also tells up to which number its writer had seen the ledger. Where others committed in
+between, both may hold a key that should be there once. Such batches are contested: readers leave out their
+rows whose key one of the batches in between holds (:meth:`uncontested`). Without them nothing is compared.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOG = "kind string, sequence long, committed_at timestamp_ntz, batch_id string"
+_LOG = "kind string, sequence long, committed_at timestamp_ntz, seen long, batch_id string"
 
 
 def partition_name(batch_id: str) -> str:
@@ -39,21 +44,66 @@ class Ledger:
     def committed(self, batch_id: str) -> bool:
         return not self.log().where(F.col("batch_id") == partition_name(batch_id)).isEmpty()
 
-    def stored(self, table: str) -> DataFrame:
-        """Rows of the last snapshot and of every batch committed after it."""
+    def last_sequence(self) -> int:
+        """Number of the last commit; a writer asks before it looks at the tables."""
+        return self.log().agg(F.max("sequence").alias("s")).first()["s"] or 0
+
+    def _live(self) -> DataFrame:
+        """Commits that make up the tables: the last snapshot and every batch after it."""
         log = self.log()
         since = log.where(F.col("kind") == "snapshot").agg(F.max("sequence").alias("s")).first()["s"]
-        live = log.where(F.col("sequence") >= (since or 0)).select("batch_id")
+        return log.where(F.col("sequence") >= (since or 0))
+
+    def _rows(self, table: str, live: DataFrame) -> DataFrame:
         schema = f"{self.tables[table]}, batch_id string"
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
         # One log row per batch: pruning by it skips the directories of other batches.
-        return rows.join(live, "batch_id", "left_semi").drop("batch_id")
+        return rows.join(live.select("batch_id"), "batch_id", "left_semi")
+
+    def stored(self, table: str) -> DataFrame:
+        """Rows of the last snapshot and of every batch committed after it."""
+        return self._rows(table, self._live()).drop("batch_id")
+
+    def uncontested(self, table: str, key: Column, names: str) -> DataFrame:
+        """Rows of a table, with their ``batch_id``, without those that lost their key to an earlier commit.
+
+        ``names`` is the table that holds the key of every row as ``key``, ``key`` how the table spells it. Only
+        contested batches are compared with what was committed meanwhile; their number is that of writers
+        that overlapped since the last snapshot.
+        """
+        live = self._live().select("batch_id", "sequence", F.coalesce("seen", F.col("sequence") - 1).alias("seen"))
+        rows = self._rows(table, live)
+        contested = live.where("seen < sequence - 1")
+        if contested.isEmpty():
+            return rows
+        held = self._rows(names, live).join(F.broadcast(live.select("batch_id", "sequence")), "batch_id")
+        mine = self._rows(names, contested).join(F.broadcast(contested), "batch_id")
+        between = (F.col("m.key") == F.col("h.key")) & (F.col("h.sequence") > F.col("m.seen")) & (F.col("h.sequence") < F.col("m.sequence"))
+        lost = mine.alias("m").join(held.select("key", "sequence").alias("h"), between, "left_semi")
+        lost = lost.select("batch_id", F.col("key").alias("_key")).distinct()
+        return rows.withColumn("_key", key).join(lost, ["batch_id", "_key"], "left_anti").drop("_key")
 
     def write(self, table: str, batch_id: str, rows: DataFrame) -> None:
         columns = [part.split()[0] for part in self.tables[table].split(", ")]
         rows.select(*columns).write.mode("overwrite").parquet(self._directory(table, batch_id))
 
-    def commit(self, batch_id: str, as_of: dt.datetime, kind: str = "batch") -> None:
-        last = self.log().agg(F.max("sequence").alias("s")).first()["s"] or 0
-        row = self.spark.createDataFrame([(kind, last + 1, as_of)], _LOG.rsplit(", ", 1)[0])
+    def commit(self, batch_id: str, as_of: dt.datetime, kind: str = "batch", seen: int | None = None) -> None:
+        """Show a batch. ``seen`` is the last number its writer knew when it checked for keys; the last, if not given."""
+        last = self.last_sequence()
+        seen = last if seen is None else seen
+        sequence = last + 1
+        while not self._claimed(sequence):
+            sequence += 1
+        row = self.spark.createDataFrame([(kind, sequence, as_of, seen)], _LOG.rsplit(", ", 1)[0])
         row.coalesce(1).write.mode("overwrite").parquet(self._directory("log", batch_id))
+
+    def _claimed(self, sequence: int) -> bool:
+        """Create the file of a number, unless it is there; the file system lets only one writer do so."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{sequence:012d}")
+        try:
+            return path.getFileSystem(context._jsc.hadoopConfiguration()).createNewFile(path)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise

@@ -36,7 +36,8 @@ class GuideRegistry(KeyIndex):
 
     def read_rows(self) -> DataFrame:
         voids = self.stored("voids").groupBy("row_id").agg(F.min("voided_at").alias("_at"))
-        marked = self.stored("guides").join(voids, "row_id", "left")
+        guides = self.uncontested("guides", fold_case(F.col("greName")), "names").drop("batch_id")
+        marked = guides.join(voids, "row_id", "left")
         voided = F.col("_at").isNotNull()
         return marked.withColumns(
             {
@@ -50,8 +51,12 @@ class GuideRegistry(KeyIndex):
         """The guide table."""
         return self.read_rows().drop("row_id")
 
-    def append(self, batch_id: str, rows: DataFrame, as_of: dt.datetime) -> bool:
-        """Add new guides (unique names) and void the active ones of their deliveries, as one batch."""
+    def append(self, batch_id: str, rows: DataFrame, as_of: dt.datetime, seen: int | None = None) -> bool:
+        """Add new guides (unique names) and void the active ones of their deliveries, as one batch.
+
+        ``seen`` is the ledger's last number from before the names were checked; of what other writers committed
+        since, a guide that both hold stays theirs.
+        """
         if self.committed(batch_id):
             return False
         row_id = F.concat(F.lit(f"{partition_name(batch_id)}/"), fold_case(F.col("greName")))
@@ -60,7 +65,7 @@ class GuideRegistry(KeyIndex):
         added = self.spark.read.schema(self.tables["guides"]).parquet(self._directory("guides", batch_id))
         voids = superseded(self.read_rows(), added).select("row_id", moment(as_of).alias("voided_at"))
         self.write("voids", batch_id, voids)
-        self.commit(batch_id, as_of)
+        self.commit(batch_id, as_of, seen=seen)
         return True
 
     def snapshot(self, name: str, as_of: dt.datetime) -> None:
@@ -77,11 +82,19 @@ class InvoiceRegistry(KeyIndex):
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(spark, root, {"lines": LINE_SCHEMA, "headers": HEADER_SCHEMA, **INDEX_TABLES})
 
+    def _headers(self) -> DataFrame:
+        return self.uncontested("headers", fold_case(F.col("NameFile")), "names")
+
     def headers(self) -> DataFrame:
-        return self.stored("headers")
+        return self._headers().drop("batch_id")
 
     def lines(self) -> DataFrame:
-        return self.stored("lines")
+        """Lines of the headers that are there. Lines know their invoice by its number only."""
+        live = self._live()
+        lines = self._rows("lines", live)
+        if not live.where(F.coalesce("seen", F.col("sequence") - 1) < F.col("sequence") - 1).isEmpty():
+            lines = lines.join(self._headers().select("batch_id", "FacInterno").distinct(), ["batch_id", "FacInterno"], "left_semi")
+        return lines.drop("batch_id")
 
     def add(self, batch_id: str, headers: DataFrame, as_of: dt.datetime) -> bool:
         """Take over headers registered elsewhere, without lines."""
@@ -92,14 +105,14 @@ class InvoiceRegistry(KeyIndex):
         self.commit(batch_id, as_of)
         return True
 
-    def append(self, batch_id: str, accepted: DataFrame, as_of: dt.datetime) -> bool:
-        """Add accepted documents whose file is neither registered nor twice in the batch."""
+    def append(self, batch_id: str, accepted: DataFrame, as_of: dt.datetime, seen: int | None = None) -> bool:
+        """Add accepted documents whose file is neither registered nor twice in the batch (``seen``: as for guides)."""
         if self.committed(batch_id):
             return False
         self.write("lines", batch_id, line_rows(accepted))
         self.write("headers", batch_id, header_rows(accepted))
         self.write_names(batch_id, accepted.select("name_file"))
-        self.commit(batch_id, as_of)
+        self.commit(batch_id, as_of, seen=seen)
         return True
 
 
