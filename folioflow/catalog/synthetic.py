@@ -143,8 +143,8 @@ def text_records(orders: DataFrame) -> DataFrame:
         F.when(~_every(k, 9), F.concat(F.lit("Nota de Venta SAP 71"), k.cast("string"))),
         shipped,
         F.concat(F.lit("Factura Sistema 99"), k.cast("string")),
-        F.lit("Ruta R17NORTE"), F.lit("  "),
-        F.concat(F.lit("Documento Ref F113-"), _digits(k, 7), F.lit(" ")),
+        F.lit("Turno B"), F.lit(" Muelle 12 "),
+        F.concat(F.lit("Documento Ref F113-"), _digits(k, 7)),
     )
     lines = F.array_compact(
         F.array(
@@ -153,7 +153,7 @@ def text_records(orders: DataFrame) -> DataFrame:
             F.lit("A;RznSocEmis;1;NORTHERN; S.A.C. "),
             F.lit(""),
             F.lit("A;Serie;2;REPEATED"),
-            F.lit("B;RUCTransporExtra;1;EXTRA"),
+            F.lit("X;SerieAnterior;1;T999"),
             F.lit("NOKEY"), F.lit("B;;1;EMPTY KEY"), F.lit("B;SinValor"),
             F.concat(F.lit("G;MotivoTraslado;1;"), motive),
             F.concat(F.lit("G;DirLlegUbiGeo;1;"), postal),
@@ -184,7 +184,7 @@ txt as (
       'A;RznSocEmis;1;NORTHERN; S.A.C. ',
       '',
       'A;Serie;2;REPEATED',
-      'B;RUCTransporExtra;1;EXTRA',
+      'X;SerieAnterior;1;T999',
       'NOKEY', 'B;;1;EMPTY KEY', 'B;SinValor',
       'G;MotivoTraslado;1;' || case when k % 67 = 0 then 'X'
         else ['01', '03', '3', '04', '99'][(k % 5)::integer + 1] end,
@@ -200,8 +200,8 @@ txt as (
         case when k % 9 <> 0 then 'Nota de Venta SAP 71' || k::varchar end,
         case when o_custkey % 10 <> 0 then 'Documento Despacho 81' || lpad(o_custkey::varchar, 8, '0') end,
         'Factura Sistema 99' || k::varchar,
-        'Ruta R17NORTE', '  ',
-        'Documento Ref F113-' || lpad(k::varchar, 7, '0') || ' '
+        'Turno B', ' Muelle 12 ',
+        'Documento Ref F113-' || lpad(k::varchar, 7, '0')
       ], lambda x: x is not null), '  |  '),
       'E;DescripcionAdicsunat;2;Orden de Compra Cliente IGNORED  |  Factura Sistema IGNORED'
     ], lambda x: x is not null), chr(13) || chr(10)) end as value
@@ -293,7 +293,7 @@ def invoice_documents(orders: DataFrame) -> DataFrame:
     )
     text = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<ns0:Invoice xmlns:ns0="urn:invoice">\n<ns0:invoiceDetail>'),
-        tag("invoiceDate", day), tag("paymentIssueTime", "08:45:12.0000"), F.lit("<ns0:salesOrderReason/>"),
+        tag("invoiceDate", day), tag("paymentIssueTime", "17:05:00"), F.lit("<ns0:salesOrderReason/>"),
         tag("documentType", pick(["01", "07", "08", "03"], k)), tag("docNumber", "F113"),
         F.when(_every(k, 6), tag("sequentialNumber", _digits(k, 8))).otherwise(tag("sequentilaNumber", _digits(k, 8))),
         tag("paymentDueDate", day), tag("referenceDocNumber", "REF-", k.cast("string")),
@@ -302,7 +302,7 @@ def invoice_documents(orders: DataFrame) -> DataFrame:
         F.lit("\n</ns0:billToDetails>"),
         tag("orderNumber", "71", k.cast("string")), tag("customerOrderNumber", "32", k.cast("string")),
         tag("SAPBillingDocumentNumber", "99", k.cast("string")),
-        tag("paymentMethod", F.when(_every(k, 5), " ").otherwise("45 días")),
+        tag("paymentMethod", F.when(_every(k, 5), " ").otherwise("30 días")),
         tag("salesMan", (k % 100).cast("string")),
         F.when(_every(k, 3), "").otherwise(tag("soldToEmailId", "c", customer.cast("string"), "@example.com")),
         tag("currencyCode", "PEN"), tag("currencyCode", "USD"),
@@ -325,7 +325,7 @@ o as (select *, o_orderkey as k from orders),
 invoice as (
   select k as invoice_id, '/01_INV_F113_' || lpad(k::varchar, 12, '0') || '.xml' as name_file,
     '<ns0:invoiceDetail><ns0:invoiceDate>' || strftime(o_orderdate, '%Y-%m-%d') || '</ns0:invoiceDate>'
-    || '<ns0:paymentIssueTime>08:45:12.0000</ns0:paymentIssueTime><ns0:salesOrderReason/>'
+    || '<ns0:paymentIssueTime>17:05:00</ns0:paymentIssueTime><ns0:salesOrderReason/>'
     || '<ns0:documentType>' || ['01', '07', '08', '03'][(k % 4)::integer + 1] || '</ns0:documentType>'
     || '<ns0:docNumber>F113</ns0:docNumber>'
     || case when k % 6 = 0 then '<ns0:sequentialNumber>' || lpad(k::varchar, 8, '0') || '</ns0:sequentialNumber>'
@@ -338,7 +338,7 @@ invoice as (
     || '<ns0:orderNumber>71' || k::varchar || '</ns0:orderNumber>'
     || '<ns0:customerOrderNumber>32' || k::varchar || '</ns0:customerOrderNumber>'
     || '<ns0:SAPBillingDocumentNumber>99' || k::varchar || '</ns0:SAPBillingDocumentNumber>'
-    || '<ns0:paymentMethod>' || case when k % 5 = 0 then ' ' else '45 días' end || '</ns0:paymentMethod>'
+    || '<ns0:paymentMethod>' || case when k % 5 = 0 then ' ' else '30 días' end || '</ns0:paymentMethod>'
     || '<ns0:salesMan>' || (k % 100)::varchar || '</ns0:salesMan>'
     || case when k % 3 = 0 then '' else '<ns0:soldToEmailId>c' || o_custkey::varchar || '@example.com</ns0:soldToEmailId>' end
     || '<ns0:currencyCode>PEN</ns0:currencyCode><ns0:currencyCode>USD</ns0:currencyCode>'

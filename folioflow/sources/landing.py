@@ -17,6 +17,9 @@ PDF_FILES = "*.[pP][dD][fF]"
 TXT_FILES = "*.[tT][xX][tT]"
 XML_FILES = "*.[xX][mM][lL]"
 
+#: Splits of a listing that go to one task.
+LISTED_SPLITS = 64
+
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -24,9 +27,12 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """Files of a folder, subfolders left out: ``path, modificationTime, creation_time, length``.
 
     File systems behind Spark report no creation time, so it equals the write time here. The
-    content column is not selected and therefore not read.
+    content column is not selected and therefore not read. A listed file costs next to nothing, so many
+    more of them make a task than Spark would give it for reading.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    splits = files.rdd.getNumPartitions()
+    files = files.coalesce(max(1, min(splits, spark.sparkContext.defaultParallelism), splits // LISTED_SPLITS))
     return files.select(
         "path",
         F.col("modificationTime").cast("timestamp_ntz").alias("modificationTime"),

@@ -7,48 +7,38 @@ from pathlib import Path
 
 from folioflow.plans.jobs import Folders
 
-RECORD = """A;ImprDest;1;\\\\printer\\queue
-A;TipoDTE;1;9
-A;Serie;1;{serie}
-A;Correlativo;1;{number}
-A;RznSocEmis;1;NORTHERN; S.A.C.
-B;NmbItem;1;LAMP, BLUE
-E;DescripcionAdicsunat;1;{serie}-{number}  |  Orden de Compra Cliente 4700112358  |  Nota de Venta SAP 5500987611  |  {delivery}  |  Factura Sistema 9100223344  |  Ruta R17NORTE  |    |    |  Documento Ref F113-0071902 
-E;DescripcionAdicsunat;2;
-G;MotivoTraslado;1;{motive}
-G;DirLlegUbiGeo;1;{postal}
-G1;FechInicioTraslado;1;{date}
-G1;RUCTranspor;1; 20881234567
-G1;RazoTrans;1; CARRIER S.A.C.
-"""
+def record(serie="T001", number="0204617", motive="03", postal="150101", date="2026-04-07", delivery="8300456789"):
+    """A guide's text record: what the jobs read, and lines of other kinds between."""
+    pieces = [f"Factura Sistema {9000000000 + int(number)}", "Turno B", f"Documento Despacho {delivery}" if delivery else "Sin despacho",
+              "Nota de Venta SAP 61", "Muelle 12", "Documento Ref F500-7", "Orden de Compra Cliente 52"]
+    lines = [
+        ("G", "DirLlegUbiGeo", 1, postal), ("G", "MotivoTraslado", 1, motive), ("X", "SerieAnterior", 1, "T999"),
+        ("G1", "RazoTrans", 1, "RIVER FREIGHT; LTD"), ("G1", "FechInicioTraslado", 1, date), ("G1", "RUCTranspor", 1, "\t 20111 "),
+        ("E", "DescripcionAdicsunat", 1, " | ".join(["pedido", *pieces])),
+        ("A", "Correlativo", 1, number), ("A", "Serie", 1, serie), ("A", "Serie", 2, "T000"),
+    ]
+    return "".join(f"{';'.join(map(str, parts))}\n" for parts in lines)
 
 
-def record(serie="T001", number="0204617", motive="03", postal="150101", date="2026-04-07", delivery="8300456789"):
-    label = f"Documento Despacho {delivery}" if delivery else "Sin despacho"
-    return RECORD.format(serie=serie, number=number, motive=motive, postal=postal, date=date, delivery=label)
+def element(tag, *children):
+    return f"<ns0:{tag}>{''.join(children)}</ns0:{tag}>"
 
 
 def line(part="000000000007720345", text="LAMP BLUE", quantity="1.000"):
-    children = [("partNumber", part), ("itemDescription", text), ("quantity", quantity)]
-    body = "".join(f"<ns0:{tag}>{value}</ns0:{tag}>" for tag, value in children if value is not None)
-    return f"<ns0:line><ns0:stocKLine>{body}</ns0:stocKLine></ns0:line>"
+    children = {"quantity": quantity, "itemDescription": text, "partNumber": part}
+    return element("line", element("stocKLine", *(element(t, v) for t, v in children.items() if v is not None)))
 
 
 def invoice(lines=None, **tags):
-    header = {"documentType": "01", "docNumber": "F113", "sequentilaNumber": "0071902", "invoiceDate": "2026-04-07"}
-    header.update({
-        "billToNumber": "512044", "customerTVAT": "20777654321", "billToName": "SHOP S.A.C.", "currencyCode": "PEN",
-        "totalTaxValue": "418.26", "SAPBillingDocumentNumber": "9100223344", "paymentDueDate": "2026-05-07",
-        "paymentMethod": "45 días", "orderNumber": "5500987611", "paymentIssueTime": "08:45:12.0000",
-        "salesMan": "700215", "customerOrderNumber": "4700112358",
-    })
-    header.update(tags)
-    body = "".join(f"<ns0:{tag}>{value}</ns0:{tag}>" for tag, value in header.items() if value is not None)
-    body += "".join([line()] if lines is None else lines)
-    return (
-        '<?xml version="1.0" encoding="UTF-8"?>\n<ns0:Publisher xmlns:ns0="urn:example:invoice">\n  '
-        f"<ns0:invoiceDetail>{body}</ns0:invoiceDetail>\n</ns0:Publisher>"
-    )
+    """An invoice with only what the tests look at; tags that are None are left out."""
+    header = {
+        "currencyCode": "USD", "totalTaxValue": "77.5", "SAPBillingDocumentNumber": "3141", "orderNumber": "2718",
+        "paymentMethod": "30 días", "docNumber": "F500", "sequentilaNumber": "0000042", "documentType": "01",
+        "invoiceDate": "2026-03-02", **tags,
+    }
+    fields = [element(tag, value) for tag, value in header.items() if value is not None]
+    body = element("batch", *([line()] if lines is None else lines), *fields)
+    return f'<ns0:Document xmlns:ns0="urn:test">{body}</ns0:Document>'
 
 
 class Landing:

@@ -101,10 +101,10 @@ def test_relative_path(spark):
 def test_attributes_match_whole_keys_and_first_line_wins(spark):
     row = indexed(
         spark,
-        "A;RUCTransporExtra;1;EXTRA-VALUE\nA;RUCTranspor;1;TRANSPORTISTA-001\r\nA;RUCTranspor;2;LATER\rA;serie;1;x\n\n;;\nX",
+        "Z;Doc;7;one\r\nZ;DocNumber;7;two\nZ;MyDoc;7;three\rQ;Doc;8;four\nZ;doc;9;five\n\n;;\nX",
     ).first()
     assert row["attributes"] == {
-        "RUCTransporExtra": "EXTRA-VALUE", "RUCTranspor": "TRANSPORTISTA-001", "serie": "x",
+        "Doc": "one", "DocNumber": "two", "MyDoc": "three", "doc": "five",
     }
 
 
@@ -146,10 +146,10 @@ def test_labels(spark):
 def test_sample_record(spark):
     row = indexed(spark, "\ufeff" + record()).first()
     assert row["attributes"]["Serie"] == "T001"
-    assert row["attributes"]["RUCTranspor"] == "20881234567"
+    assert row["attributes"]["RUCTranspor"] == "20111"
     assert row["fields"][1:] == [
-        "Orden de Compra Cliente 4700112358", "Nota de Venta SAP 5500987611", "Documento Despacho 8300456789",
-        "Factura Sistema 9100223344", "Ruta R17NORTE", "Documento Ref F113-0071902",
+        "Factura Sistema 9000204617", "Turno B", "Documento Despacho 8300456789", "Nota de Venta SAP 61", "Muelle 12",
+        "Documento Ref F500-7", "Orden de Compra Cliente 52",
     ]
 
 

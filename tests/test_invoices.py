@@ -20,18 +20,18 @@ def judged(spark, *documents):
 def test_header_and_line(spark):
     (row,) = judged(spark, invoice())
     assert row["status"] == "accepted"
-    assert (row["TipDoc"], row["Serie"], row["Numero"], row["Fecha"]) == ("01", "F113", "0071902", "2026-04-07")
-    assert (row["ConPag"], row["Monto"], row["FacInterno"]) == ("45 días", "418.26", "9100223344")
+    assert (row["TipDoc"], row["Serie"], row["Numero"], row["Fecha"]) == ("01", "F500", "0000042", "2026-03-02")
+    assert (row["ConPag"], row["Monto"], row["FacInterno"]) == ("30 días", "77.5", "3141")
     assert row["checked_lines"] == [
         {"line_no": 0, "Cod_Material": "7720345", "Descripcion": "LAMP BLUE", "Cantidad": "1.000"}
     ]
 
 
 def test_target_rows(spark):
-    df = spark.createDataFrame([("/in/a.xml", "/a.xml", invoice())], "path string, name_file string, value string")
+    df = spark.createDataFrame([("/in/a.xml", "/a.xml", invoice(paymentDueDate="2026-04-01"))], "path string, name_file string, value string")
     accepted = invoices.evaluate(df)
     header = invoices.header_rows(accepted).first().asDict()
-    assert (header["NameFile"], header["Fecha"], header["FecVenci"]) == ("/a.xml", "20260407", "20260507")
+    assert (header["NameFile"], header["Fecha"], header["FecVenci"]) == ("/a.xml", "20260302", "20260401")
     assert (header["Sunat"], header["Estado"], header["indNotificacion"]) == ("No procesado", "Pendiente", 0)
     assert len(header) == 28
 
@@ -55,7 +55,7 @@ def test_reference_document_only_for_notes(spark):
 
 
 def test_correct_spelling_of_the_number_tag_is_not_read(spark):
-    (row,) = judged(spark, invoice(sequentilaNumber=None, sequentialNumber="0071902"))
+    (row,) = judged(spark, invoice(sequentilaNumber=None, sequentialNumber="0000042"))
     assert row["Numero"] == ""
 
 
@@ -68,7 +68,7 @@ def test_one_bad_line_fails_the_document(spark, lines):
 
 
 def test_malformed_documents_do_not_stop_the_others(spark):
-    rows = judged(spark, invoice()[:-5], invoice(), "", invoice().replace(' xmlns:ns0="urn:example:invoice"', ""))
+    rows = judged(spark, invoice()[:-5], invoice(), "", invoice().replace(' xmlns:ns0="urn:test"', ""))
     assert [r["reason"] for r in rows] == ["malformed_xml", None, "malformed_xml", "malformed_xml"]
 
 
