@@ -48,6 +48,15 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def circulating_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of the attempt log, as last written, that are not in quarantine; each is written anew every day."""
+    written, size = F.date_trunc("day", "ts").cast("timestamp_ntz"), 1000 + F.dayofmonth("ts").cast("long")
+    log = syn.attempts(_events(spark, folder)).withColumns({"modificationTime": written, "length": size})
+    dead = attempts.quarantine_rows(attempts.number_attempts(log, 2))
+    now = log.groupBy(F.lower("path").alias("path")).agg(F.max("modificationTime").alias("modificationTime"), F.max("length").alias("length"))
+    return attempts.in_circulation(now, dead).select("path", F.col("modificationTime").cast("string").alias("written"), "length")
+
+
 def alertable_events(spark: SparkSession, folder: str) -> DataFrame:
     return _alerts(spark, folder).groupBy("channel", "category", "level").agg(F.count("*").alias("events"))
 
@@ -111,7 +120,7 @@ def heartbeats(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        failed_attempts, quarantine, alertable_events, error_log, alert_buffer, alert_batches, alert_batches_dense,
+        failed_attempts, quarantine, circulating_files, alertable_events, error_log, alert_buffer, alert_batches, alert_batches_dense,
         alert_batches_single, alert_batches_unthrottled, alert_categories, source_status, heartbeats,
     )
 }
@@ -209,6 +218,12 @@ activity as (
 
 ORACLE = {
     "failed_attempts": f"with {_attempts(3)} select attempt_id, attempts, attempts = 3 as quarantined from failure",
+    "circulating_files": f"""
+with {_attempts(2)},
+held as (select distinct lower(path) as path, ts::date as day from failure where attempts = 2),
+latest as (select lower(path) as path, max(ts::date) as day from attempt group by 1)
+select path, strftime(day, '%Y-%m-%d %H:%M:%S') as written, 1000 + day(day) as length
+from latest where (path, day) not in (select path, day from held)""",
     "quarantine": f"""
 with {_attempts(2)},
 ended as (

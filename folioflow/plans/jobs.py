@@ -13,13 +13,13 @@ from folioflow.functions.names import file_name, relative_to
 from folioflow.functions.text import fold_case
 from folioflow.operators import guides, invoices
 from folioflow.operators.attempts import (
-    DEFAULT_MAX_ATTEMPTS, attempt_rows, number_attempts, quarantine_rows,
+    DEFAULT_MAX_ATTEMPTS, VERSION, attempt_rows, in_circulation, number_attempts, quarantine_rows,
 )
 from folioflow.operators.listing import distinct_paths, from_day, non_empty, with_effective_time
 from folioflow.operators.reconcile import not_registered, pending_guides, pending_invoices
 from folioflow.operators.skew import keep_first
 from folioflow.session import cut_lineage
-from folioflow.sinks.files import copy_routed, quarantined_before, write_quarantine
+from folioflow.sinks.files import copy_routed, quarantined_before, quarantined_files, write_quarantine
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry, first_of_each_file
 from folioflow.sources.landing import PDF_FILES, TXT_FILES, XML_FILES, list_files, read_documents
 
@@ -90,7 +90,7 @@ def register_landed_invoices(
 
 
 def _documents(spark: SparkSession, folder: str, wanted: DataFrame, root: str) -> DataFrame:
-    return read_documents(spark, folder, XML_FILES, wanted).withColumn("name_file", relative_to(F.col("path"), root))
+    return read_documents(spark, folder, XML_FILES, wanted, *VERSION).withColumn("name_file", relative_to(F.col("path"), root))
 
 
 def _register_wanted(
@@ -116,7 +116,10 @@ def quarantine(
 
     What an earlier run stored is left out; returns what this run stores. A batch id may run again.
     """
-    schema = "path string, ts timestamp_ntz, attempt_id string, success boolean, error string"
+    schema = (
+        "path string, ts timestamp_ntz, attempt_id string, success boolean, error string, "
+        "modificationTime timestamp_ntz, length long"
+    )
     rows = quarantine_rows(number_attempts(spark.read.schema(schema).parquet(f"{outcomes}/batch=*"), max_attempts))
     rows = cut_lineage(rows.join(quarantined_before(spark, target, batch_id), "attempt_id", "left_anti"))
     write_quarantine(rows, target, batch_id)
@@ -124,10 +127,21 @@ def quarantine(
 
 
 class DailyRun:
-    """The daily reconciliation. A run that finds another one active does nothing."""
+    """The daily reconciliation. A run that finds another one active does nothing.
+
+    ``outcomes`` and ``dead_letters`` are the folders of the attempt log and of the quarantine, both with a part
+    per pipeline. With them a run logs its attempts, passes over the files in quarantine, and puts there
+    what has failed too often; such a file is tried again once it has been written anew.
+    """
 
     def __init__(self, spark: SparkSession, folders: Folders, guide_registry: GuideRegistry,
-                 invoice_registry: InvoiceRegistry):
+                 invoice_registry: InvoiceRegistry, outcomes: str | None = None, dead_letters: str | None = None,
+                 max_attempts: int = DEFAULT_MAX_ATTEMPTS):
+        if dead_letters is not None and outcomes is None:
+            raise ValueError("the quarantine is filled from the attempt log: name its folder too")
+        self.outcomes = outcomes
+        self.dead_letters = dead_letters
+        self.max_attempts = max_attempts
         self.spark = spark
         self.folders = folders
         self.guide_registry = guide_registry
@@ -147,6 +161,7 @@ class DailyRun:
                 step = {"guide": self._guides, "invoice": self._invoices}[name]
                 try:
                     rows.append((name, *step(as_of, only_today, max_files, skip_registered), None))
+                    self._quarantine(name, as_of)
                 except Exception as error:  # noqa: BLE001 - reported in the summary
                     rows.append((name, None, None, None, str(error)))
             return self.spark.createDataFrame(
@@ -155,30 +170,41 @@ class DailyRun:
         finally:
             self._active.release()
 
-    def _candidates(self, folder: str, glob: str, as_of: dt.datetime, only_today: bool) -> DataFrame:
+    def _part(self, folder: str | None, pipeline: str) -> str | None:
+        return None if folder is None else f"{folder.rstrip('/')}/{pipeline}"
+
+    def _quarantine(self, pipeline: str, as_of: dt.datetime) -> None:
+        if self.dead_letters is not None:
+            log, target = self._part(self.outcomes, pipeline), self._part(self.dead_letters, pipeline)
+            quarantine(self.spark, log, target, f"{as_of:%Y%m%dT%H%M%S}", self.max_attempts)
+
+    def _candidates(self, pipeline: str, folder: str, glob: str, as_of: dt.datetime, only_today: bool) -> DataFrame:
         listed = list_files(self.spark, folder, glob)
+        if self.dead_letters is not None:
+            listed = in_circulation(listed, quarantined_files(self.spark, self._part(self.dead_letters, pipeline)))
         return from_day(listed, as_of.date()) if only_today else listed
 
     def _guides(self, as_of, only_today, max_files, skip_registered):
-        listed = self._candidates(self.folders.pdf, PDF_FILES, as_of, only_today)
+        listed = self._candidates("guide", self.folders.pdf, PDF_FILES, as_of, only_today)
         known = self.guide_registry.known if skip_registered else self.guide_registry.keys().limit(0)
         pending = cut_lineage(pending_guides(listed, known, max_files))
         judged = register_guides(
             self.guide_registry, pending.drop("guide_key", "effective_time"),
             companion_records(self.spark, self.folders.txt, pending.drop("guide_key")),
-            as_of, f"daily-guide-{as_of:%Y%m%dT%H%M%S}", self.folders,
+            as_of, f"daily-guide-{as_of:%Y%m%dT%H%M%S}", self.folders, self._part(self.outcomes, "guide"),
         )
         return self._counts(pending, judged)
 
     def _invoices(self, as_of, only_today, max_files, skip_registered):
         seen = self.invoice_registry.last_sequence()
-        listed = self._candidates(self.folders.xml, XML_FILES, as_of, only_today)
+        listed = self._candidates("invoice", self.folders.xml, XML_FILES, as_of, only_today)
         known = self.invoice_registry.known if skip_registered else self.invoice_registry.headers().limit(0)
         root = folder_root(self.spark, self.folders.xml)
         pending = cut_lineage(pending_invoices(listed, known, root, max_files))
         documents = _documents(self.spark, self.folders.xml, pending, root)
         judged = _register_wanted(
-            self.invoice_registry, documents, as_of, f"daily-invoice-{as_of:%Y%m%dT%H%M%S}", seen
+            self.invoice_registry, documents, as_of, f"daily-invoice-{as_of:%Y%m%dT%H%M%S}", seen,
+            self._part(self.outcomes, "invoice"),
         )
         return self._counts(pending, judged)
 

@@ -41,12 +41,21 @@ def write_quarantine(rows: DataFrame, target: str, batch_id: str) -> None:
 
 def quarantined_before(spark: SparkSession, target: str, batch_id: str) -> DataFrame:
     """``attempt_id`` of all dead-letter rows of other batches; none if there is no such folder yet."""
+    stored = _dead_letters(spark, target, "attempt_id string, batch string")
+    return stored.where(F.col("batch") != batch_id).select("attempt_id").distinct()
+
+
+def quarantined_files(spark: SparkSession, target: str) -> DataFrame:
+    """``path, modificationTime, length`` of all dead-letter rows; none if there is no such folder yet."""
+    return _dead_letters(spark, target, "path string, modificationTime timestamp_ntz, length long")
+
+
+def _dead_letters(spark: SparkSession, target: str, schema: str) -> DataFrame:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(path):
-        return spark.createDataFrame([], "attempt_id string")
-    stored = spark.read.schema("attempt_id string, batch string").parquet(target)
-    return stored.where(F.col("batch") != batch_id).select("attempt_id").distinct()
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(target)
 
 
 def log_entries(events: DataFrame, prefix: str = "") -> DataFrame:

@@ -89,12 +89,12 @@ def _scanned(spark: SparkSession, folder: str, glob: str, wanted: DataFrame, *ex
     return files.select("path", "content").join(broadcast_if_small(wanted.select("path", *extra)), "path")
 
 
-def read_documents(spark: SparkSession, folder: str, glob: str, wanted: DataFrame) -> DataFrame:
-    """``path, value``: the wanted files as whole texts, so lines keep their order.
+def read_documents(spark: SparkSession, folder: str, glob: str, wanted: DataFrame, *extra: str) -> DataFrame:
+    """``path, value``: the wanted files as whole texts, so lines keep their order, with ``extra`` columns of the listing.
 
     Byte order marks are heeded. A file that is gone or can't be opened has a null value: no document.
     """
     if reachable(folder):
-        return read_texts(wanted).drop("error")
-    content = _scanned(spark, folder, glob, wanted)
-    return content.select("path", F.col("content").cast("string").alias("value"))
+        return read_texts(wanted, *extra).drop("error")
+    content = _scanned(spark, folder, glob, wanted, *extra)
+    return content.select("path", F.col("content").cast("string").alias("value"), *extra)

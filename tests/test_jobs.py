@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.operators.attempts import number_attempts, quarantine_rows
+from folioflow.operators.attempts import in_circulation, number_attempts, quarantine_rows
 from folioflow.operators.invoices import parse_documents
 from folioflow.functions.names import relative_to
 from folioflow.plans.jobs import (
@@ -290,6 +290,42 @@ def test_files_that_keep_failing_end_in_quarantine(spark, landing, invoices, tmp
     assert spark.read.parquet(store).count() == 1
 
 
+def test_quarantined_file_is_out_of_circulation_until_it_changes(spark, landing, guides, invoices, tmp_path):
+    log, dead = str(tmp_path / "log"), str(tmp_path / "dead")
+    landing.put("xml", "good.xml", invoice())
+    bad = landing.put("xml", "bad.xml", "<x")
+
+    def day(n: int) -> tuple[int, int]:
+        run = DailyRun(spark, landing.folders, guides, invoices, log, dead)
+        (row,) = run.run(NOW + dt.timedelta(days=n), pipelines=("invoice",)).collect()
+        assert row["error"] is None
+        return row["pending"], row["failed"]
+
+    assert [day(n) for n in range(5)] == [(2, 1), (1, 1), (1, 1), (0, 0), (0, 0)]
+    stored = spark.read.parquet(f"{dead}/invoice")
+    assert [(r["stored_as"], r["attempts"], r["length"]) for r in stored.collect()] == [("bad.xml", 3, 2)]
+    # Same text, later write time: a new version with attempts of its own.
+    landing.put("xml", "bad.xml", "<x")
+    assert [day(n) for n in range(5, 9)] == [(1, 1), (1, 1), (1, 1), (0, 0)]
+    landing.put("xml", "bad.xml", invoice(SAPBillingDocumentNumber="1"))
+    assert [day(9), day(10)] == [(1, 0), (0, 0)]
+    assert bad and invoices.headers().count() == 2
+
+
+def test_circulation_compares_versions(spark):
+    schema = "path string, modificationTime timestamp_ntz, length long"
+    now, later = NOW, NOW + dt.timedelta(seconds=1)
+    listed = spark.createDataFrame([("/a", now, 1), ("/B", now, 1), ("/c", later, 1), ("/d", now, 2), ("/e", now, 1), (None, now, 1)], schema)
+    dead = spark.createDataFrame([("/a", now, 1), ("/a", now, 1), ("/b", now, 1), ("/c", now, 1), ("/d", now, 1), ("/e", None, None), (None, now, 1)], schema)
+    assert {r["path"] for r in in_circulation(listed, dead).collect()} == {"/c", "/d", "/e", None}
+    assert in_circulation(listed, dead.limit(0)).count() == 6 and in_circulation(listed.limit(0), dead).count() == 0
+
+
+def test_quarantine_needs_the_attempt_log(spark, landing, guides, invoices):
+    with pytest.raises(ValueError, match="attempt log"):
+        DailyRun(spark, landing.folders, guides, invoices, dead_letters="/x")
+
+
 def test_records_whose_names_differ_in_case_give_one_row(spark, landing, tmp_path):
     landing.guide(number="0000007")
     name = "20990011224-T001-0000007"
