@@ -12,7 +12,10 @@ from folioflow.functions.names import (
     companion_of_pdf, file_name, guide_key_from_pdf, pdf_pattern_of_companion, relative_to,
 )
 from folioflow.functions.text import fold_case
+from folioflow.functions.times import seconds_of
 from folioflow.operators import listing, reconcile
+from folioflow.session import scratch_path
+from folioflow.sources.snapshots import ListingLog
 
 DAY = dt.date(1998, 3, 15)
 AS_OF = dt.datetime(2001, 8, 1, 12, 0, 0)
@@ -134,12 +137,33 @@ def distinct_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def listing_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Change sets of three runs over a folder: one finds nothing old, one the changes, one nothing new."""
+    pdfs = _pdfs(spark, folder).withColumn("s", seconds_of(F.col("modificationTime")))
+    later = F.when(F.col("s") % 13 == 0, F.timestamp_add("HOUR", F.lit(1), F.col("modificationTime"))).otherwise(
+        F.col("modificationTime")
+    )
+    before = pdfs.where(F.col("s") % 7 != 0)
+    now = pdfs.where(F.col("s") % 11 != 0).withColumns(
+        {"modificationTime": later, "length": F.col("length") + F.when(F.col("s") % 17 == 0, 1).otherwise(0)}
+    )
+    log = ListingLog(spark, scratch_path(spark, "listings"))
+    sets = []
+    for run, listed in enumerate((before, now, now), 1):
+        sets.append(log.take(f"r{run}", listed).withColumn("run", F.lit(run).cast("long")))
+        log.commit(f"r{run}", AS_OF)
+        if run == 2:
+            log.compact("folded", AS_OF)
+    found = sets[0].unionByName(sets[1]).unionByName(sets[2])
+    return found.select("run", "path", "change", text_time("modificationTime").alias("written"), "length")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         reconcile_guides, reconcile_guides_all, reconcile_guides_limit_after, reconcile_counters, reconcile_invoices,
         work_list, guide_keys, companion_patterns, relative_paths, todays_files, oldest_files, backlog_rescan,
-        non_empty_files, distinct_arrivals,
+        non_empty_files, distinct_arrivals, listing_changes,
     )
 }
 
@@ -184,6 +208,26 @@ select source, strftime(effective, '%Y-%m-%d') as day, count(*) as files from (
   union all
   select 'invoice' as source, effective from i where not registered
 ) group by 1, 2""",
+    "listing_changes": f"""
+with {syn.PDF_SQL},
+timed as (select path, mtime, length, epoch(mtime)::bigint as s from pdf),
+old as (select path, mtime, length from timed where s % 7 <> 0),
+new as (
+  select path, mtime + to_hours(case when s % 13 = 0 then 1 else 0 end) as mtime,
+    length + case when s % 17 = 0 then 1 else 0 end as length
+  from timed where s % 11 <> 0
+),
+found as (
+  select 1 as run, path, 'new' as change, mtime, length from old
+  union all
+  select 2, path, 'new', mtime, length from new where path not in (select path from old)
+  union all
+  select 2, path, 'gone', mtime, length from old where path not in (select path from new)
+  union all
+  select 2, path, 'changed', n.mtime, n.length from new n join old o using (path)
+  where n.mtime <> o.mtime or n.length <> o.length
+)
+select run::bigint as run, path, change, {sql_time('mtime')} as written, length::bigint as length from found""",
     "guide_keys": f"with {syn.PDF_KEYS_SQL} select path, guide_key, companion from keyed",
     "companion_patterns": f"""
 with {syn.PDF_SQL}, {syn.TXT_SQL},

@@ -22,6 +22,7 @@ from folioflow.session import cut_lineage
 from folioflow.sinks.files import copy_routed, quarantined_before, quarantined_files, write_quarantine
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry, first_of_each_file
 from folioflow.sources.landing import PDF_FILES, TXT_FILES, XML_FILES, list_files, read_documents
+from folioflow.sources.snapshots import GONE, ListingLog
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,22 @@ def register_landed_invoices(
     return _register_wanted(registry, _documents(registry.spark, folder, wanted, root), as_of, batch_id, seen, outcomes)
 
 
+def register_changed_invoices(
+    registry: InvoiceRegistry, listings: ListingLog, folder: str, as_of: dt.datetime, batch_id: str,
+    outcomes: str | None = None,
+) -> DataFrame:
+    """Register what has landed or been written anew since the last run; all other files are not looked at.
+
+    The change set is committed last: a run that dies is repeated under its batch id on the same files.
+    """
+    changes = listings.take(batch_id, list_files(registry.spark, folder, XML_FILES))
+    files = changes.where(F.col("change") != GONE).drop("change")
+    judged = register_landed_invoices(registry, files, folder, as_of, batch_id, outcomes)
+    if not listings.committed(batch_id):
+        listings.commit(batch_id, as_of)
+    return judged
+
+
 def _documents(spark: SparkSession, folder: str, wanted: DataFrame, root: str) -> DataFrame:
     return read_documents(spark, folder, XML_FILES, wanted, *VERSION).withColumn("name_file", relative_to(F.col("path"), root))
 
