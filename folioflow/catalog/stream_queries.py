@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,15 @@ from pyspark.sql import functions as F
 
 from folioflow.catalog import operations_queries as ops
 from folioflow.catalog import synthetic as syn
+from folioflow.functions.times import moment
 from folioflow.operators import alerts
 from folioflow.operators.alerts import AlertRules
+from folioflow.operators.listing import non_empty
 from folioflow.session import cut_lineage, scratch_path
-from folioflow.streaming import ingest, remainders, stateful
+from folioflow.streaming import ingest, matching, remainders, stateful
 
 LATENESS = 10
+STRETCH = 500
 STREAM_RULES = AlertRules(window=3600, max_batch=3, throttle=5400)
 
 
@@ -93,9 +97,49 @@ def stream_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _arriving(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """Rows as a stream in several micro-batches, in the order of ``arrived_at`` but for stretches of ``STRETCH`` days."""
+    target = scratch_path(spark, name)
+    first, last = rows.agg(F.min("arrived_at"), F.max("arrived_at")).first()
+    while first is not None and first <= last:
+        end = first + dt.timedelta(days=STRETCH)
+        part = rows.where((F.col("arrived_at") >= moment(first)) & (F.col("arrived_at") < moment(end)))
+        part.write.mode("append").parquet(target)
+        first = end
+    written = spark.read.parquet(target)
+    stream = spark.readStream.schema(written.schema).option("maxFilesPerTrigger", -(-len(written.inputFiles()) // 5))
+    return stream.parquet(target).withColumn("arrived_at", F.col("arrived_at").cast("timestamp"))
+
+
+def stream_matched_records(spark: SparkSession, folder: str) -> DataFrame:
+    """PDFs and text records from two streams, matched when both have come within two days of each other."""
+    orders = syn.orders(spark, folder)
+    pdfs = non_empty(syn.pdf_listing(orders)).select("path", F.col("modificationTime").alias("arrived_at"))
+    texts = non_empty(syn.text_records(orders).select("record_id", "path", "length"))
+    delay = F.col("k") * 13 % (3 * 86400)
+    landed = orders.select(F.col("k").alias("record_id"), F.timestamp_add("SECOND", delay, F.col("o_orderdate")).alias("arrived_at"))
+    records = texts.join(landed, "record_id").select("path", "arrived_at")
+
+    def build() -> DataFrame:
+        arrived = _arriving(spark, "records", records).withColumn("record", F.struct("path"))
+        return matching.matched_records(_arriving(spark, "pdfs", pdfs), arrived, "2 days", f"{STRETCH} days").select(
+            "path", "guide_key", F.col("record.path").alias("record")
+        )
+
+    rows = drained(
+        spark, "matches", build,
+        lambda session, state: remainders.open_pdfs(session, state).select(
+            "path", "guide_key", F.lit(None).cast("string").alias("record")
+        ),
+    )
+    return rows
+
+
 QUERIES = {
     f.__name__: f
-    for f in (stream_failed_attempts, stream_alert_batches, stream_distinct_arrivals, stream_arrivals)
+    for f in (
+        stream_failed_attempts, stream_alert_batches, stream_distinct_arrivals, stream_arrivals, stream_matched_records,
+    )
 }
 
 ORACLE = {
@@ -103,6 +147,16 @@ ORACLE = {
     "stream_alert_batches": f"with recursive {ops.throttled_sql(STREAM_RULES)} {ops._SUMMARY}",
     "stream_distinct_arrivals": """
 select distinct '/landing/xml/user_' || user_id::varchar || '.xml' as path_key from events""",
+    "stream_matched_records": f"""
+with {syn.PDF_KEYS_SQL}, {syn.TXT_SQL},
+landed as (
+  select lower(regexp_extract(t.path, '[^/]*$')) as name, t.path, o.o_orderdate + to_seconds(o.o_orderkey * 13 % 259200) as at
+  from txt t join orders o on o.o_orderkey = t.record_id where t.value <> ''
+)
+select p.path, p.guide_key, l.path as record
+from keyed p left join landed l on l.name = lower(p.companion)
+  and l.at between p.mtime - interval 2 days and p.mtime + interval 2 days
+where p.length > 0""",
     "stream_arrivals": f"""
 select source, strftime(beat + interval 60 minutes, '%Y-%m-%d %H:%M:%S') as beat_at, count(*) as arrived,
   {ops.sql_micro_time('max(ts)')} as last_arrival

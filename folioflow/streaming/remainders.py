@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from folioflow.operators.alerts import AlertRules
 
 
-def state_of(spark: SparkSession, checkpoint: str, variable: str | None = None) -> DataFrame:
+def state_of(spark: SparkSession, checkpoint: str, variable: str | None = None, **options: str) -> DataFrame:
     """Rows of a query's state after its last batch; ``variable`` is one of a stateful processor's."""
-    reader = spark.read.format("statestore")
+    reader = spark.read.format("statestore").options(**options)
     return (reader if variable is None else reader.option("stateVarName", variable)).load(checkpoint)
 
 
@@ -30,6 +30,13 @@ def open_batches(spark: SparkSession, checkpoint: str, rules: AlertRules = Alert
     )
 
 
+def open_pdfs(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """PDFs that have met no record so far, as :func:`matching.matched_records` would hand them out at the end of
+    their time, but for the ``record``."""
+    waiting = state_of(spark, checkpoint, storeName="left-keyWithIndexToValue").where("not value.matched")
+    return waiting.select("value.*").drop("matched", "_pdf")
+
+
 def open_intervals(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Heartbeat intervals that the watermark has not closed, as :func:`stateful.arrivals_per_interval` counts them."""
     state = state_of(spark, checkpoint)
