@@ -18,6 +18,7 @@ from folioflow.operators.attempts import (
 from folioflow.operators.listing import distinct_paths, from_day, non_empty, with_effective_time
 from folioflow.operators.reconcile import not_registered, pending_guides, pending_invoices
 from folioflow.operators.skew import keep_first
+from folioflow.plans.lease import RunLease
 from folioflow.session import cut_lineage
 from folioflow.sinks.files import copy_routed, quarantined_before, quarantined_files, write_quarantine
 from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry, first_of_each_file
@@ -149,16 +150,20 @@ class DailyRun:
     ``outcomes`` and ``dead_letters`` are the folders of the attempt log and of the quarantine, both with a part
     per pipeline. With them a run logs its attempts, passes over the files in quarantine, and puts there
     what has failed too often; such a file is tried again once it has been written anew.
+
+    ``lease`` keeps runs of other processes out. It is renewed at each commit, so a run that was taken over shows
+    nothing it had not committed before.
     """
 
     def __init__(self, spark: SparkSession, folders: Folders, guide_registry: GuideRegistry,
                  invoice_registry: InvoiceRegistry, outcomes: str | None = None, dead_letters: str | None = None,
-                 max_attempts: int = DEFAULT_MAX_ATTEMPTS):
+                 max_attempts: int = DEFAULT_MAX_ATTEMPTS, lease: RunLease | None = None):
         if dead_letters is not None and outcomes is None:
             raise ValueError("the quarantine is filled from the attempt log: name its folder too")
         self.outcomes = outcomes
         self.dead_letters = dead_letters
         self.max_attempts = max_attempts
+        self.lease = lease
         self.spark = spark
         self.folders = folders
         self.guide_registry = guide_registry
@@ -172,7 +177,13 @@ class DailyRun:
         """One summary row per pipeline; a pipeline that breaks does not stop the other."""
         if not self._active.acquire(blocking=False):
             return None
+        registries = (self.guide_registry, self.invoice_registry)
         try:
+            if self.lease is not None:
+                if self.lease.take() is None:
+                    return None
+                for registry in registries:
+                    registry.guard = self.lease.renew
             rows = []
             for name in pipelines:
                 step = {"guide": self._guides, "invoice": self._invoices}[name]
@@ -185,6 +196,10 @@ class DailyRun:
                 rows, "pipeline string, pending long, processed long, failed long, error string"
             )
         finally:
+            if self.lease is not None:
+                for registry in registries:
+                    registry.guard = None
+                self.lease.release()
             self._active.release()
 
     def _part(self, folder: str | None, pipeline: str) -> str | None:

@@ -13,6 +13,7 @@ rows whose key one of the batches in between holds (:meth:`uncontested`). Withou
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,22 @@ def partition_name(batch_id: str) -> str:
     return f"b_{batch_id}"
 
 
+def claimed(spark: SparkSession, path: str) -> bool:
+    """Create a file, unless it is there; the file system lets only one caller do so."""
+    context = spark.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        return file.getFileSystem(context._jsc.hadoopConfiguration()).createNewFile(file)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+
+
 class Ledger:
+    #: Called before each commit; raises where the batch must not be shown.
+    guard: Callable[[], object] | None = None
+
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, str]):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -89,6 +105,8 @@ class Ledger:
 
     def commit(self, batch_id: str, as_of: dt.datetime, kind: str = "batch", seen: int | None = None) -> None:
         """Show a batch. ``seen`` is the last number its writer knew when it checked for keys; the last, if not given."""
+        if self.guard is not None:
+            self.guard()
         last = self.last_sequence()
         seen = last if seen is None else seen
         sequence = last + 1
@@ -98,12 +116,4 @@ class Ledger:
         row.coalesce(1).write.mode("overwrite").parquet(self._directory("log", batch_id))
 
     def _claimed(self, sequence: int) -> bool:
-        """Create the file of a number, unless it is there; the file system lets only one writer do so."""
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{sequence:012d}")
-        try:
-            return path.getFileSystem(context._jsc.hadoopConfiguration()).createNewFile(path)
-        except Py4JJavaError as error:
-            if "AlreadyExists" in error.java_exception.getClass().getName():
-                return False
-            raise
+        return claimed(self.spark, f"{self.root}/claims/{sequence:012d}")
