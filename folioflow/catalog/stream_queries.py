@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 
@@ -29,14 +30,15 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def drained(
     spark: SparkSession, name: str, build: Callable[[], DataFrame],
-    remainder: Callable[[SparkSession, str], DataFrame] | None = None,
+    remainder: Callable[[SparkSession, str], DataFrame] | None = None, processors: bool = True,
 ) -> DataFrame:
     """Run a stream until its input is used up; its output, written to the shared folder.
 
-    ``remainder`` reads what the state still holds then, and is added to the output.
+    ``remainder`` reads what the state still holds then, and is added to the output. Without stateful ``processors``
+    the session's own kind of state store will do.
     """
     out = scratch_path(spark, name)
-    with stateful.rocksdb_state(spark):
+    with stateful.rocksdb_state(spark) if processors else contextlib.nullcontext():
         stream = build()
         query = (
             stream.writeStream.outputMode("append")
@@ -131,6 +133,7 @@ def stream_matched_records(spark: SparkSession, folder: str) -> DataFrame:
         lambda session, state: remainders.open_pdfs(session, state).select(
             "path", "guide_key", F.lit(None).cast("string").alias("record")
         ),
+        processors=False,
     )
     return rows
 
