@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -65,8 +66,10 @@ def test_encoder_on_odd_texts(plain, monkeypatch):
     encode = packing._Encoder(PATH)
     for _ in range(2):
         for text in ODD:
-            (got,) = encode([(text or "").encode()])
-            assert np.frombuffer(got, "<u4").tolist() == ids_of(plain, text)[:-1]
+            got, _ = encode(pa.array([text], pa.string()))
+            assert got.tolist() == ids_of(plain, text)
+    got, bounds = encode(pa.array(["left out", *ODD, "left out"], pa.string()).slice(1, len(ODD)))
+    assert [got[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [ids_of(plain, text) for text in ODD]
 
 
 def test_sequences_give_the_documents_back(spark, plain):
@@ -99,6 +102,38 @@ def test_rounds_keep_every_item_and_fill_sequences(spark, group):
     assert bins <= 1.15 * len(best) + 1
 
 
+def test_three_rounds_on_documents(spark, plain, monkeypatch):
+    levels = []
+    one_round = packing._round
+    monkeypatch.setattr(packing, "_round", lambda items, tasks, level, capacity: levels.append(tasks) or one_round(items, tasks, level, capacity))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    rows = packing.packed_documents(docs, PATH, group=4).collect()
+    assert len(levels) >= 3 and levels[-1] == 1 and levels == sorted(levels, reverse=True)
+    wanted = sorted((r["doc_id"], n) for r in docs.collect() for n in [len(ids_of(plain, r["text"]))])
+    by_doc = {}
+    for r in rows:
+        by_doc[r["doc_id"]] = by_doc.get(r["doc_id"], 0) + r["length"]
+    assert sorted(by_doc.items()) == wanted
+    check_places(rows)
+    totals = {}
+    for r in rows:
+        totals[r["sequence_id"]] = totals.get(r["sequence_id"], 0) + r["length"]
+    assert sum(2 * t <= 4096 for t in totals.values()) <= 1  # nothing is left that could be merged
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bins_left_behind_would_merge_with_nothing(spark, seed):
+    """The chosen bins of a round are packed into as many sequences fewer as all of its bins would be."""
+    draw = np.random.default_rng(seed)
+    big, small = draw.integers(51, 100, 400), draw.integers(1, 51, 30)
+    rows = [(int(k), 0, int(n)) for k, n in enumerate([*big, *small])]
+    step = spark.createDataFrame(rows, "bin long, shift long, total long")
+    chosen = np.array([r["length"] for r in packing._underfull(step, 100).collect()])
+    everything = np.array([n for _, _, n in rows])
+    saved = len(everything) - len(packing.best_fit(everything, 100)[2])
+    assert len(chosen) - len(packing.best_fit(chosen, 100)[2]) == saved > 0
+
+
 def test_best_fit_takes_the_fullest_bin_that_fits():
     bins, offsets, filled = packing.best_fit(np.array([5, 6, 4, 3, 2]), 10)
     assert filled.tolist() == [10, 10] and bins.tolist() == [1, 0, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8]
