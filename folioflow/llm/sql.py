@@ -2,7 +2,7 @@
 
 ORACLE: dict[str, str] = {}
 
-#: Lines with too many surroundings at their host, then the documents without them.
+#: Lines that too many documents with different sets of lines hold at a host, then the documents without them.
 ORACLE["op2_line_frequency"] = r"""
 with docs as (
   select row_number() over () as row, doc_id, coalesce(source, '') as host, coalesce(text, '') as text from documents
@@ -31,13 +31,11 @@ with docs as (
       translate(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line,
       len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) as n
     from (select row, host, unnest(lines) as line from words))
-), ranked as (
-  select row, host, key, dense_rank() over (partition by row order by key) as r from (select distinct row, host, key from lines)
-), least as (
-  select row, min(key) filter (where r = 1) as m, min(key) filter (where r = 2) as m2 from ranked group by row
+), sets as (
+  select row, host, unnest(keys) as key, array_to_string(keys, ' ') as document
+  from (select row, host, list_sort(list_distinct(list(key))) as keys from lines group by row, host)
 ), frequent as (
-  select host, key from ranked join least using (row) group by host, key
-  having count(distinct case when r = 1 then coalesce(m2, '') else m end) > 20
+  select host, key from sets group by host, key having count(distinct document) > 20
 ), removed as (
   select row, sum(n)::bigint as n_removed from lines join frequent using (host, key) group by row
 ), judged as (
