@@ -21,6 +21,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+#: The parts of a candidate between signs that may also join words, as in paths and names.
+SEGMENT = re.compile(r"[A-Za-z0-9+]{20,}={0,2}")
 KINDS = ("assign", "access", "hex", "random")
 _HINTS = ("passw", "secret", "token", "api")
 
@@ -157,6 +159,15 @@ def character_model(docs: DataFrame) -> Model:
     return Model(scores, moments)
 
 
+def candidates(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Places of the strings to test: each list has a whole run, then its segments of 20 or more
+    characters between ``/``, ``-`` and ``_``, if there are such signs."""
+    for match in CANDIDATE.finditer(text):
+        start, end = match.span()
+        parts = [part.span() for part in SEGMENT.finditer(text, start, end)]
+        yield [(start, end), *(part for part in parts if part != (start, end))]
+
+
 def with_discovery_control(docs: DataFrame, model: Model) -> Model:
     """Benjamini-Hochberg over all different candidates of all texts, for each length class by itself.
 
@@ -166,7 +177,7 @@ def with_discovery_control(docs: DataFrame, model: Model) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = {m.group() for text in batch.column(0).to_pylist() for m in CANDIDATE.finditer(text)}
+            seen = {text[a:b] for text in batch.column(0).to_pylist() for places in candidates(text) for a, b in places}
             rows = []
             for string in seen:
                 p = model.p_value(string)
@@ -206,13 +217,15 @@ def spans_of(text: str, model: Model) -> list[tuple[int, int, str]]:
         base += [(*m.span(), "access") for m in ACCESS.finditer(text) if len(m.group()) >= 20]
     base += [(*m.span(), "hex") for m in HEX.finditer(text)]
     more = []
-    for match in CANDIDATE.finditer(text):
-        start, end = match.span()
-        if any(s < end and start < e for s, e, _ in base):
-            continue
-        p = model.p_value(match.group())
-        if p is not None and p <= model.allowed[length_class(len(match.group().rstrip("=")))]:
-            more.append((start, end, "random"))
+    for places in candidates(text):
+        for start, end in places:
+            # Of a run that is a secret, the segments need no test.
+            if any(s < end and start < e for s, e, _ in [*base, *more[-1:]]):
+                continue
+            string = text[start:end]
+            p = model.p_value(string)
+            if p is not None and p <= model.allowed[length_class(len(string.rstrip("=")))]:
+                more.append((start, end, "random"))
     return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
@@ -221,7 +234,8 @@ def found(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     Known shapes: assignments, access keys, long hex; and ``random``: strings of 20 or more
     characters that the battery takes for random and that are too even for ordinary text under the
-    false-discovery control. A null or empty text has none. Repeated rows and null ids are kept,
+    false-discovery control. Runs with ``/``, ``-`` or ``_`` are tested whole, then each of their segments;
+    strings of decimals are not tested, a number being no less random than a secret. A null or empty text has none. Repeated rows and null ids are kept,
     other columns ignored; an empty table gives an empty one.
     """
     model = model or fitted(docs)

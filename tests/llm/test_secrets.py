@@ -76,3 +76,27 @@ def test_odd_rows_redaction_and_false_discovery_control(spark):
     assert texts[0][0] == rows[0][1].replace(keys[0], "[SECRET]") and texts[0][1] == len(texts[0][0])
     assert texts[None][0] == "say [SECRET]\" and [SECRET]" and texts[10] == (None, 3) and texts[11] == ("", 0)
     assert secrets.digest(secrets.found(docs.limit(0))).count() == secrets.redacted(docs.limit(0)).count() == 0
+
+
+def test_tokens_between_signs_are_found_and_the_words_beside_them_stay(spark):
+    draw = random.Random(8)
+    chars = string.ascii_letters + string.digits
+    keys = ["".join(draw.choice(chars) for _ in range(40)) for _ in range(6)]
+    frames = ["see /srv/my-app/{}/end", "a_long-name/{}", "/srv/app/{}", "old-{}_new", "ordinary-words/{}=", "/a_b/{}/c-d"]
+    plain = "some ordinary words of the-usual-kind/with_signs/in-between-them and andsomelongwordsthatgoon "
+    rows = [(k, plain * 20 + frame.format(key)) for k, (frame, key) in enumerate(zip(frames, keys))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.fitted(docs)
+    for r in secrets.found(docs, model).collect():
+        text, key = rows[r["doc_id"]][1], keys[r["doc_id"]]
+        at = text.index(key)
+        (span,) = [tuple(s) for s in r["found"]]
+        assert span[0] == "random" and span[1] <= at and at + 40 <= span[2] and span[1] >= len(plain) * 20
+    for r in secrets.redacted(docs, model).collect():
+        assert keys[r["doc_id"]] not in r["text"] and r["text"].startswith(plain * 20)
+
+
+def test_candidates_are_the_run_and_its_segments():
+    run = "x" * 25 + "/" + "y" * 19 + "-" + "Z" * 30 + "=="
+    assert [[f"see {run} end"[a:b] for a, b in places] for places in secrets.candidates(f"see {run} end")] == [[run, "x" * 25, "Z" * 30 + "=="]]
+    assert list(secrets.candidates("q" * 30)) == [[(0, 30)]] and list(secrets.candidates("")) == []
