@@ -55,6 +55,11 @@ def with_row_key(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumn("_a", F.xxhash64(*columns)).withColumn("_b", F.hash(*columns))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, ``_row``, so that columns added beside it can't clash with them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("_row")
+
+
 def random_unit(seed: int, *columns: str) -> Column:
     """A number in (0, 1) that depends on nothing but ``seed`` and the row: 48 bits of an MD5.
 

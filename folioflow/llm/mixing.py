@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import random_unit, staged, word_count
+from folioflow.llm.common import random_unit, staged, whole_row, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
-#: The ranks of a source are counted in so many cells before the last cell is looked at row by row.
-CELLS = 4096
+#: The ranks of a source are counted in so many cells; the cell that matters is cut again, up to so often,
+#: while it holds more ranks than one task is to sort. Ranks have 48 random bits, those of four levels.
+CELLS, LEVELS = 4096, 4
+SORTED = 100_000
+#: So many ranks of a source that still fit are walked down in one row.
+WALKED = 20_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
@@ -44,26 +48,119 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def _placed(docs: DataFrame, seed: int) -> DataFrame:
     """Add what a row's rank rests on: ``_s`` (its source, null told from empty), ``_t``, ``_u``."""
     return (
-        docs.withColumn("_s", F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string"))))
+        docs.withColumn("_s", _source_key(F.col("source").cast("string")))
         .withColumn("_t", F.md5(F.coalesce(F.col("text"), F.lit(""))))
         .withColumn("_u", random_unit(seed, "doc_id", "_t"))
     )
 
 
+def _source_key(source: Column) -> Column:
+    return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
+
+
 def _ranked(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """Add the Pareto rank: random odds over inclusion odds, ``q``, brought to (0, 1) as ``_z``."""
+    """Add the place in Pareto order, ``_o``: random odds over inclusion odds brought to (0, 1), then id and text."""
     odds = (F.col("_u") / (1 - F.col("_u"))) / (F.col("part") / (1 - F.col("part")))
-    return rows.join(rates, "_s").withColumn("_z", F.when(F.col("part") > 0, odds / (1 + odds)))
+    rank = F.when(F.col("part") > 0, odds / (1 + odds))
+    return rows.join(rates, "_s").withColumn("_o", F.struct(rank.alias("z"), F.coalesce("doc_id", F.lit(-1)).alias("d"), "_t"))
+
+
+def _first_misfits(fitting: DataFrame) -> DataFrame:
+    """For each source the first rank, in Pareto order, whose words go beyond the gap: ``start`` (null if
+    all fit), and ``gap``, what is left of it before.
+
+    ``fitting`` has ``_s``, ``_o``, ``words`` and ``gap``. Words are summed by cells of ranks, the cell
+    where the sum passes the gap is cut into cells again until it holds few ranks, and those are
+    looked at one by one. So one task never sorts more than ``SORTED`` ranks, however large the source.
+    """
+    sums = fitting.groupBy("_s").agg(F.sum("words").alias("all"), F.first("gap").alias("gap"))
+    inside, before = fitting.withColumn("before", F.lit(0).cast("long")), F.col("before")
+    upto = Window.partitionBy("_s").orderBy("cell")
+    for level in range(1, LEVELS + 1):
+        inside = inside.withColumn("cell", F.floor(F.col("_o.z") * float(CELLS**level)))
+        cells = inside.groupBy("_s", "cell").agg(
+            F.sum("words").alias("words"), F.count("*").alias("n"), F.first("gap").alias("gap"), F.first("before").alias("before")
+        )
+        edge = staged(
+            cells.withColumn("sum", before + F.sum("words").over(upto))
+            .where(F.col("sum") > F.col("gap"))
+            .groupBy("_s")
+            .agg(F.min(F.struct("cell", (F.col("sum") - F.col("words")).alias("before"), "n")).alias("e"))
+            .select("_s", "e.*"),
+            "edge",
+        )
+        inside = inside.drop("before").join(edge.drop("n"), ["_s", "cell"])
+        if (edge.agg(F.max("n")).first()[0] or 0) <= SORTED:
+            break
+    along = Window.partitionBy("_s").orderBy("_o")
+    misfit = (
+        inside.withColumn("sum", before + F.sum("words").over(along))
+        .where(F.col("sum") > F.col("gap"))
+        .groupBy("_s")
+        .agg(F.min(F.struct("_o", (F.col("sum") - F.col("words")).alias("taken"))).alias("m"))
+    )
+    return sums.join(misfit, "_s", "left").select(
+        "_s", F.col("m._o").alias("start"), (F.col("gap") - F.coalesce("m.taken", "all")).alias("gap")
+    )
+
+
+def _walked(fitting: DataFrame, number: int) -> DataFrame:
+    """All further segments of sources with few ranks left: one pass down each source's sorted ranks."""
+    place = fitting.schema["_o"].dataType.simpleString()
+    start = F.struct(
+        F.col("gap"), F.col("gap").alias("limit"), F.array().cast(f"array<struct<round:int,start:{place},gap:double>>").alias("found")
+    )
+
+    def step(a: Column, x: Column) -> Column:
+        fits, within = x["words"] <= a["gap"], x["words"] <= a["limit"]
+        segment = F.struct((F.size(a["found"]) + 1 + number).alias("round"), x["_o"].alias("start"), a["gap"].alias("gap"))
+        return F.struct(
+            F.when(fits, a["gap"] - x["words"]).otherwise(a["gap"]).alias("gap"),
+            F.when(within & ~fits, a["gap"]).otherwise(a["limit"]).alias("limit"),
+            F.when(within & ~fits, F.array_append(a["found"], segment)).otherwise(a["found"]).alias("found"),
+        )
+
+    ranks = fitting.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("_o", "words"))).alias("ranks"), F.first("gap").alias("gap"))
+    end = F.struct((F.size("w.found") + 1 + number).alias("round"), F.lit(None).cast(place).alias("start"), F.col("w.gap").alias("gap"))
+    walked = ranks.select("_s", F.aggregate("ranks", start, step).alias("w"))
+    return walked.select("_s", F.explode(F.concat("w.found", F.array(end))).alias("x")).select("_s", "x.*")
+
+
+def _segments(ranked: DataFrame, rates: DataFrame) -> DataFrame:
+    """``_s``, ``round``, ``start``, ``gap``: from ``start`` on, itself left out, ranks of up to ``gap`` words are taken.
+
+    Going down the Pareto order and taking what still fits is done in rounds, all sources at once: a
+    round takes ranks up to the first that does not fit, and the next one goes on after it with what
+    fits the gap that is left. A misfit is larger than that gap, so gaps fall fast. When no source has
+    more than ``WALKED`` ranks left that fit, the rest is one walk each. The last row of a source has
+    no start and what stays open as its gap; it is missing where nothing fits any more.
+    """
+    none = F.lit(None).cast(ranked.schema["_o"].dataType)
+    state = rates.where("part > 0").select("_s", F.lit(0).alias("round"), none.alias("start"), F.col("rest").cast("double").alias("gap"))
+    out, number = state, 0
+    while True:
+        fits = (F.col("start").isNull() | (F.col("_o") > F.col("start"))) & (F.col("words") > 0) & (F.col("words") <= F.col("gap"))
+        fitting = ranked.join(state, "_s").where(fits).select("_s", "_o", "words", "gap")
+        if (fitting.groupBy("_s").count().agg(F.max("count")).first()[0] or 0) <= WALKED:
+            return out.unionByName(staged(_walked(fitting, number), "round"))
+        number += 1
+        found = staged(_first_misfits(fitting).withColumn("round", F.lit(number)), "round")
+        out, state = out.unionByName(found), found.where("start is not null")
 
 
-def allocation(docs: DataFrame, seed: int = 11) -> tuple[DataFrame, DataFrame]:
-    """The sized rows, and for each source how its documents are taken.
+def _fits(segments: Column, place: Column, words: Column) -> Column:
+    """Whether a rank is taken: its segment is the last that starts at or before it."""
+    own = F.element_at(F.filter(segments, lambda s: s["start"].isNull() | (s["start"] <= place)), -1)
+    return (own["start"].isNull() | (own["start"] < place)) & (words <= own["gap"])
+
+
+def allocation(docs: DataFrame, seed: int = 11) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sized rows, for each source how its documents are taken, and repeated rows that don't fit together.
 
     A source whose target is r times its size takes every document floor(r) times for certain. The
     rest is sampled with inclusion probability r - floor(r): documents in the order of their Pareto
-    rank as long as the words fit, then the one document left that brings the words nearest to
-    the target. Cells of ranks are summed first, so only the documents of one cell of each source are
-    ever sorted, however large the source.
+    rank, each that fits what is left of the words, then the one document left that brings the words
+    nearest to the target. What is missing in the end is less than the smallest document left.
     """
     sized = staged(
         _placed(docs.select("doc_id", "source", "text").withColumn("size", word_count("text")), seed).select(
@@ -74,59 +171,39 @@ def allocation(docs: DataFrame, seed: int = 11) -> tuple[DataFrame, DataFrame]:
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rates = staged(
         source_targets(sized)
-        .withColumn("_s", F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source"))))
+        .withColumn("_s", _source_key(F.col("source")))
         .withColumn("whole", F.floor(rate).cast("long"))
         .withColumn("part", rate - F.floor(rate))
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
         .drop("source"),
         "rates",
     )
-    ranked = _ranked(sized.select("doc_id", "size", "_s", "_t", "_u"), rates.select("_s", "part", "rest")).where("part > 0")
-    ranked = ranked.withColumn("cell", F.floor(F.col("_z") * CELLS))
-    cells = ranked.groupBy("_s", "cell").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy("_s").orderBy("cell")
-    edge = (
-        cells.withColumn("sum", F.sum("words").over(upto))
-        .where(F.col("sum") > F.col("rest"))
-        .groupBy("_s")
-        .agg(F.min(F.struct("cell", (F.col("sum") - F.col("words")).alias("before"))).alias("e"))
-        .select("_s", "e.*")
-    )
-    order = F.struct("_z", F.coalesce("doc_id", F.lit(-1)).alias("d"), "_t")
-    along = Window.partitionBy("_s").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (
-        ranked.join(edge, ["_s", "cell"])
-        .withColumn("sum", F.col("before") + F.sum("size").over(along))
-        .where(F.col("sum") <= F.col("rest"))
-        .groupBy("_s")
-        .agg(F.max("sum").alias("sum"), F.max(order).alias("last"))
-    )
-    edges = staged(
-        rates.join(edge, "_s", "left")
-        .join(cut, "_s", "left")
-        .withColumn("gap", F.col("rest") - F.coalesce("sum", "before")),
-        "edges",
-    )
-    left = ranked.join(edges.select("_s", F.col("cell").alias("edge"), "last", "gap"), "_s").where(
-        (F.col("cell") > F.col("edge"))
-        | ((F.col("cell") == F.col("edge")) & (F.col("last").isNull() | (order > F.col("last"))))
-    )
-    off = F.abs(F.col("size") - F.col("gap"))
-    closing = left.where(off < F.col("gap")).groupBy("_s").agg(F.min(F.struct(off.alias("off"), order.alias("o")))["o"].alias("closing"))
-    return sized, staged(edges.join(closing, "_s", "left"), "allocation")
-
-
-def _copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Add ``copies`` to placed rows; every decision rests on the row and its source's plan alone."""
-    plan = plan.select("_s", "source_size", "target", "whole", "part", "cell", "last", "closing")
-    ranked = _ranked(rows, plan)
-    order = F.struct("_z", F.coalesce("doc_id", F.lit(-1)).alias("d"), "_t")
-    cell = F.floor(F.col("_z") * CELLS)
-    taken = (
-        (cell < F.col("cell"))
-        | ((cell == F.col("cell")) & (order <= F.col("last")))
-        | (order == F.col("closing"))
+    ranked = _ranked(sized.select("doc_id", "size", "_s", "_t", "_u"), rates.select("_s", "part")).where("part > 0")
+    ranked = staged(ranked.groupBy("_s", "_o").agg(F.sum("size").alias("words"), F.count("*").alias("n")), "ranks")
+    rounds = _segments(ranked, rates)
+    starts = rounds.where("round = 0 or start is not null").groupBy("_s").agg(
+        F.array_sort(F.collect_list(F.struct("round", "start", "gap"))).alias("segments")
     )
+    ends = rounds.where("round > 0 and start is null").select("_s", F.col("gap").alias("open"))
+    plan = rates.join(starts, "_s", "left").join(ends, "_s", "left")
+    judged = ranked.join(plan.select("_s", "segments", F.coalesce("open", F.element_at("segments", -1)["gap"]).alias("open")), "_s")
+    left = judged.where(~_fits(F.col("segments"), F.col("_o"), F.col("words")))
+    off = F.abs(F.col("words") - F.col("open"))
+    closing = left.where(off < F.col("open")).groupBy("_s").agg(F.min(F.struct(off.alias("off"), "_o"))["_o"].alias("closing"))
+    single = F.col("words") / F.col("n")
+    apart = left.where((F.col("n") > 1) & _fits(F.col("segments"), F.col("_o"), single)).select("_s", "_o", F.lit(True).alias("_apart"))
+    return sized, staged(plan.join(closing, "_s", "left"), "allocation"), staged(apart, "apart")
+
+
+def _copies(rows: DataFrame, plan: DataFrame, apart: DataFrame) -> DataFrame:
+    """Add ``copies`` to placed rows with ``size``; a decision rests on the row and its source's plan, and
+    on whether the row is one of repeated ones that fit alone but not together."""
+    ranked = _ranked(rows, plan.select("_s", "source_size", "target", "whole", "part", "segments", "closing"))
+    taken = _fits(F.col("segments"), F.col("_o"), F.col("size"))
+    if not apart.isEmpty():
+        ranked = ranked.join(apart, ["_s", "_o"], "left")
+        taken = taken & F.col("_apart").isNull()
+    taken = (F.col("part") > 0) & (taken | F.coalesce(F.col("_o") == F.col("closing"), F.lit(False)))
     return ranked.withColumn("copies", F.col("whole") + F.when(taken, 1).otherwise(0))
 
 
@@ -138,15 +215,16 @@ def mixture(docs: DataFrame, seed: int = 11) -> DataFrame:
     and are taken together. Sources without words have target 0. Reruns agree: ranks are hashes. An
     empty table gives an empty one.
     """
-    sized, plan = allocation(docs, seed)
-    return _copies(sized, plan).select(
+    sized, plan, apart = allocation(docs, seed)
+    return _copies(sized, plan, apart).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
 def mixed(docs: DataFrame, seed: int = 11) -> DataFrame:
     """The documents of the mix, each as often as it is taken, all columns unchanged."""
-    _, plan = allocation(docs, seed)
-    placed = _placed(docs, seed).select(F.struct(*docs.columns).alias("_row"), "doc_id", "_s", "_t", "_u")
-    taken = _copies(placed, plan).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies"))))
+    _, plan, apart = allocation(docs, seed)
+    placed = _placed(docs.select(whole_row(docs), "doc_id", "source", "text"), seed)
+    placed = placed.select("_row", "doc_id", word_count("text").alias("size"), "_s", "_t", "_u")
+    taken = _copies(placed, plan, apart).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies"))))
     return taken.where("_copy > 0").select("_row.*")

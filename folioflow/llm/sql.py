@@ -48,9 +48,9 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-#: Levels by filling the sources in the order of limit / weight, then documents in Pareto order.
+#: Levels by filling the sources in the order of limit / weight, then down the Pareto order, document by document.
 ORACLE["op4_pareto_mixture"] = r"""
-with docs as (
+with recursive docs as (
   select doc_id, source, coalesce(text, '') as text,
     len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::bigint as size
   from documents
@@ -83,19 +83,28 @@ with docs as (
 ), ranked as (
   select *, case when part > 0 then o / (1 + o) end as z
   from (select *, case when part > 0 then (u / (1 - u)) / (part / (1 - part)) end as o from drawn)
-), summed as (
-  select *, case when part > 0 then sum(size) over (partition by source order by z, coalesce(doc_id, -1), t
-    range between unbounded preceding and current row) end as upto from ranked
-), chosen as (
-  select *, coalesce(part > 0 and upto <= rest, false) as taken,
-    rest - coalesce(max(case when upto <= rest then upto end) over (partition by source), 0)::double as gap from summed
+), ranks as materialized (
+  select source, o, sum(size)::bigint as words, row_number() over (partition by source order by o) as place
+  from (select source, size, row(z, coalesce(doc_id, -1), t) as o from ranked where part > 0) group by source, o
+), walked as (
+  select source, 0::bigint as place, rest as gap, false as fits from rates where part > 0
+  union all
+  select w.source, r.place, case when r.words <= w.gap then w.gap - r.words else w.gap end, r.words <= w.gap
+  from walked w join ranks r on r.source is not distinct from w.source and r.place = w.place + 1
+), ends as (
+  select source, min(gap) as gap from walked group by source
+), judged as (
+  select r.*, w.fits, e.gap from ranks r
+  join walked w on r.source is not distinct from w.source and r.place = w.place
+  join ends e on r.source is not distinct from e.source
 ), closing as (
-  select source, min(row(abs(size - gap), z, coalesce(doc_id, -1), t)) as c from chosen
-  where part > 0 and not taken and abs(size - gap) < gap group by source
+  select source, min(row(abs(words - gap), o)) as c from judged where not fits and abs(words - gap) < gap group by source
+), chosen as (
+  select j.source, j.o from judged j left join closing c on j.source is not distinct from c.source
+  where j.fits or coalesce(j.o = struct_extract_at(c.c, 2), false)
 )
-select doc_id, size, source_size, target,
-  size * (whole + (taken or coalesce(row(z, coalesce(doc_id, -1), t) = row(struct_extract_at(c, 2), struct_extract_at(c, 3), struct_extract_at(c, 4)), false))::int)::bigint as taken
-from chosen left join closing on chosen.source is not distinct from closing.source
+select doc_id, size, source_size, target, size * (whole + (c.o is not null)::int)::bigint as taken
+from ranked r left join chosen c on r.source is not distinct from c.source and row(z, coalesce(doc_id, -1), t) = c.o
 """
 
 #: Parts of 64 turns, each rendered once for every speaker.

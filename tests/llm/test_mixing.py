@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioflow.llm import mixing
 from folioflow.llm.queries import ORACLE, QUERIES
@@ -65,6 +67,51 @@ def test_taken_words_nulls_repeats_and_copies(spark):
     assert +words == +wanted
 
 
+def test_a_misfit_does_not_end_the_sampling(spark):
+    draw = random.Random(5)
+    rows = [(k, "w " * 30, "a") for k in range(300)] + [(1000, "w " * 10_000, "a")]
+    rows += [(2000 + k, "w " * int(draw.paretovariate(0.7)), "b") for k in range(300)] + [(3000, "w " * 7, "b")] * 25
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for seed in (11, 15):
+        found = mixing.mixture(docs, seed).collect()
+        for source in {r["source_size"] for r in found}:
+            own = [r for r in found if r["source_size"] == source]
+            missing = own[0]["target"] - sum(r["taken"] for r in own)
+            single = [r["size"] for r in own if r["taken"] <= r["size"] * int(own[0]["target"] // source)]
+            assert abs(missing) < max(1, min(single, default=1)) or abs(missing) < 25 * 7 == min(single) * 25
+
+
+@pytest.mark.parametrize("walked, sorted_ranks", [(20_000, 100_000), (40, 100_000), (100, 3)])
+def test_walking_down_the_order_document_by_document(spark, monkeypatch, walked, sorted_ranks):
+    monkeypatch.setattr(mixing, "WALKED", walked)
+    monkeypatch.setattr(mixing, "SORTED", sorted_ranks)
+    monkeypatch.setattr(mixing, "CELLS", 8)
+    draw = random.Random(8)
+    sizes = [1 + int(20 * draw.paretovariate(1.2)) for _ in range(400)]
+    rest = 0.4 * sum(sizes)
+    ranked = spark.createDataFrame([("s", (k / 400, k, ""), n) for k, n in enumerate(sizes)], "_s string, _o struct<z:double,d:long,_t:string>, words long")
+    rates = spark.createDataFrame([("s", 0.4, rest)], "_s string, part double, rest double")
+    gap, taken = rest, set()
+    for k, n in enumerate(sizes):
+        if n <= gap:
+            gap -= n
+            taken.add(k)
+    rounds = mixing._segments(ranked, rates)
+    assert [r["gap"] for r in rounds.where("round > 0 and start is null").collect()] in ([pytest.approx(gap)], [])
+    assert rounds.where("start is not null").count() > 1
+    segments = rounds.where("round = 0 or start is not null").groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("round", "start", "gap"))).alias("x"))
+    found = ranked.join(segments, "_s").where(mixing._fits(F.col("x"), F.col("_o"), F.col("words")))
+    assert {r["_o"]["d"] for r in found.collect()} == taken
+
+
+def test_columns_with_the_names_of_inner_ones(spark):
+    rows = [(k, "w " * (k % 9), "ab"[k % 2], k, "x", None, -k, "row") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _s long, _t string, _u double, size long, _row string")
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns
+    assert set(map(tuple, mixed.collect())) <= set(map(tuple, docs.collect()))
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mixture(docs).count() == 0 and mixing.mixed(docs).count() == 0
