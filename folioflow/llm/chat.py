@@ -9,6 +9,8 @@ from folioflow.llm.common import staged
 
 #: Turns of a rendered part; longer dialogues are rendered in several parts.
 PART_TURNS = 64
+#: So many parts of a conversation meet its speakers in one group.
+PARTS_TOGETHER = 64
 END = "<|end|>"
 #: Speakers of no perspective: their turns frame the dialogue.
 FRAMING = ("system",)
@@ -62,23 +64,26 @@ def perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     empty one, and so does a conversation of framing turns. Participants and turns of a long
     conversation are never brought into one group: parts are.
     """
-    rows = staged(numbered(turns), "numbered")
-    speakers = rows.where(F.col("role").isNotNull() & (F.col("role") != "") & ~F.col("role").isin(*FRAMING))
-    speakers = speakers.select("_c", F.col("role").alias("speaker")).distinct()
-    rendered = rows.join(speakers, "_c").select(
-        "_c",
-        "conv_id",
-        "speaker",
-        F.floor(F.col("place") / part_turns).cast("int").alias("part"),
-        "place",
-        _heading(F.col("role"), F.col("speaker")).alias("head"),
-        F.concat(_plain(F.col("text")), F.lit(END)).alias("body"),
-        F.coalesce(F.col("role") == F.col("speaker"), F.lit(False)).alias("own"),
+    rows = staged(numbered(turns), "numbered").withColumn("part", F.floor(F.col("place") / part_turns).cast("int"))
+    parts = rows.groupBy("_c", "part").agg(
+        F.first("conv_id").alias("conv_id"), F.array_sort(F.collect_list(F.struct("place", "role", "text"))).alias("turns")
     )
-    parts = rendered.groupBy("_c", "speaker", "part").agg(
-        F.first("conv_id").alias("conv_id"),
-        F.array_sort(F.collect_list(F.struct("place", "head", "body", "own"))).alias("said"),
+    spoken = F.col("role").isNotNull() & (F.col("role") != "") & ~F.col("role").isin(*FRAMING)
+    speakers = rows.where(spoken).select("_c", F.col("role").alias("speaker")).distinct()
+    # Speakers are repeated for every PARTS_TOGETHER parts: a join on the conversation alone would bring
+    # all of a long one to one task.
+    together = rows.groupBy("_c").agg(F.floor(F.max("part") / PARTS_TOGETHER).alias("last"))
+    speakers = speakers.join(together, "_c").select("_c", "speaker", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("together"))
+    parts = parts.withColumn("together", F.floor(F.col("part") / PARTS_TOGETHER)).join(speakers, ["_c", "together"])
+    said = F.transform(
+        "turns",
+        lambda x: F.struct(
+            _heading(x["role"], F.col("speaker")).alias("head"),
+            F.concat(_plain(x["text"]), F.lit(END)).alias("body"),
+            F.coalesce(x["role"] == F.col("speaker"), F.lit(False)).alias("own"),
+        ),
     )
+    parts = parts.withColumn("said", said)
 
     def length(x: Column) -> Column:
         return F.length(x["head"]) + F.length(x["body"]) + 1

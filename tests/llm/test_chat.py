@@ -40,3 +40,20 @@ def test_a_long_conversation_is_cut_into_parts(spark):
     for speaker in "ab":
         text = "".join(r["text"] for r in sorted(found, key=lambda r: r["part"]) if r["speaker"] == speaker)
         assert [int(x[1:]) for x in text.replace("<|end|>", "").split("\n") if x.startswith("t")] == list(range(1000))
+
+
+def test_a_hot_conversation_meets_its_speakers_in_groups_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PARTS_TOGETHER", 2)
+    rows = [(7, k, "abc"[k % 3], f"t{k}") for k in range(300)] + [(8, 0, "a", "x"), (9, 0, "system", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = chat.perspectives(turns, part_turns=8)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {(r["conv_id"], r["speaker"], r["part"]): r["text"] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(_c" in plan and "together" in plan
+    assert len(got) == 3 * 38 + 1
+    assert got[7, "b", 37].count("<|assistant|>") == 1 and "t299" in got[7, "a", 37]
