@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import NOT_SPACE, SPACE, staged, with_row_key, words_of
+from folioflow.llm.common import NOT_SPACE, SPACE, staged, whole_row, with_row_key, words_of
 
 WINDOW = 8
 #: A line is removed if more different documents of its host hold it.
@@ -163,17 +163,17 @@ def cleaned(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
     All columns are returned; ``text`` and, where there is one, ``n_chars`` are changed for documents
     that lose lines.
     """
-    keyed = with_row_key(
-        docs.withColumn("_host", F.coalesce(F.col(host).cast("string"), F.lit(""))), ["doc_id", "_host", "text"]
-    )
+    named = docs.select(whole_row(docs), "doc_id", "text", F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"))
+    keyed = with_row_key(named, ["doc_id", "_host", "text"])
     passed = verdicts(docs, host, **limits).where("kept").select("_a", "_b", F.col("removed").alias("_cut"))
     left = F.array_join(
         F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_cut"), line_key(x))), "\n"
     )
-    text = F.when(F.size("_cut") > 0, left).otherwise(F.col("text"))
-    out = keyed.join(passed.dropDuplicates(["_a", "_b"]), ["_a", "_b"]).withColumn("text", text)
+    changed = {"text": F.when(F.size("_cut") > 0, left).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn(
-            "n_chars", F.when(F.size("_cut") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-        )
-    return out.select(docs.columns)
+        length = F.when(F.size("_cut") > 0, F.length(left)).otherwise(F.col("_row.n_chars"))
+        changed["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
+    out = keyed.join(passed.dropDuplicates(["_a", "_b"]), ["_a", "_b"])
+    return out.select("_row", *[c.alias(f"_new_{name}") for name, c in changed.items()]).select(
+        *[F.col(f"_new_{c}").alias(c) if c in changed else F.col("_row").getField(c).alias(c) for c in docs.columns]
+    )

@@ -17,8 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from folioflow.llm.common import frugal, staged
+from folioflow.llm.common import frugal, staged, whole_row
 from folioflow.llm.components import components
 
 BITS = 64
@@ -46,18 +47,23 @@ def simhash(text: bytes | None, width: int = 4) -> int:
     return sum(1 << int(k) for k in np.flatnonzero(2 * ones > shingles))
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """``doc_id``, ``fp`` (signed long) of every row."""
+def _printed(rows: DataFrame, width: int) -> DataFrame:
+    """``key``, ``fp`` (signed long) of rows of a key of any type and a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             values = np.array([simhash(t.as_py(), width) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        frugal(run), "doc_id long, fp long"
-    )
+    key = StructField("key", rows.schema[0].dataType)
+    return rows.mapInArrow(frugal(run), StructType([key, StructField("fp", LongType())]))
+
+
+def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
+    """``doc_id``, ``fp`` (signed long) of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _printed(rows, width).withColumnRenamed("key", "doc_id")
 
 
 def covering_masks(radius: int, seed: int = 7) -> list[int]:
@@ -210,13 +216,21 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
 
 
 def one_of_each_group(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their component, one row of each.
+    """One row of ``docs`` for each component: that of the least id, of equal ids the least hash of the text.
 
-    Rows without an id count after all others, by the hash of their text. All columns are returned
-    unchanged; an empty table gives an empty one.
+    Rows are told apart by id and text, so different texts under one id are rows of their own, and each
+    goes only if its own component has another row. Rows without an id count after all others. Rows
+    that agree in both are one, and the first found of them stays. All columns are returned unchanged;
+    an empty table gives an empty one.
     """
-    nameless = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), nameless))
-    found = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"), radius, width)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return named.join(stay, "_id").dropDuplicates(["_id"]).select(docs.columns)
+    text = F.coalesce(F.xxhash64(F.col("text").cast("string")), F.lit(0))
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("id"), text.alias("text"))
+    rows = docs.select(whole_row(docs), key.alias("_key"), F.col("text").cast("string").alias("_text"))
+    printed = staged(_printed(rows.select("_key", "_text"), width), "fingerprints")
+    nodes = staged(printed.groupBy("fp").agg(F.min("key").alias("first")), "nodes")
+    roots = components(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
+    stay = nodes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("_key")).select("_key")
+    # Fields of the key are never null together with a difference: a join needs them without nulls.
+    parts = [F.col("_key.nameless").alias("_k0"), F.coalesce("_key.id", F.lit(0)).alias("_k1"), F.col("_key.text").alias("_k2")]
+    names = ["_k0", "_k1", "_k2"]
+    return rows.select("_row", *parts).join(stay.select(*parts), names).dropDuplicates(names).select("_row.*")

@@ -108,3 +108,12 @@ def test_components_of_a_path_and_a_star(spark):
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {k: 10 for k in range(10, 61)} | {k: 100 for k in range(100, 160)}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_different_texts_under_one_id_are_rows_of_their_own(spark):
+    rows = [(1, "alpha beta gamma delta", 1), (1, "something else is said here", 2), (2, "ALPHA beta gamma delta", 3), (1, "alpha beta gamma delta", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id long").selectExpr("*", "7 as _key", "8 as _row", "9 as _k0")
+    kept = simhash.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "alpha beta gamma delta"), (1, "something else is said here")]
+    assert all((r["_key"], r["_row"], r["_k0"]) == (7, 8, 9) for r in kept.collect())
