@@ -1,7 +1,7 @@
 """Every query of the engine on the given tables, and the SQL that states what it must return."""
 
 from folioflow.catalog import (
-    guide_queries, invoice_queries, landed_queries, listing_queries, operations_queries, stream_queries,
+    guide_queries, invoice_queries, landed_queries, listing_queries, monitoring_queries, operations_queries, stream_queries,
 )
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     **operations_queries.QUERIES,
     **stream_queries.QUERIES,
     **landed_queries.QUERIES,
+    **monitoring_queries.QUERIES,
 }
 ORACLE = {
     **listing_queries.ORACLE,
@@ -19,4 +20,5 @@ ORACLE = {
     **operations_queries.ORACLE,
     **stream_queries.ORACLE,
     **landed_queries.ORACLE,
+    **monitoring_queries.ORACLE,
 }
