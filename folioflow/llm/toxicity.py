@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import frugal
+from folioflow.llm.common import frugal, staged
 from folioflow.llm.neighbours import remainder
 
 #: Signs that a class's counts look at and the slots of their tables, the longest first.
@@ -30,10 +30,9 @@ DISCOUNT = 0.75
 TRUST = 60.0
 #: A toxic text is taken for ordinary text in which this share of the words is toxic.
 SHARE = 0.01
-#: One in so many labelled documents is kept from the models, to calibrate on what they have not seen;
-#: of those at most CALIBRATION are used, those with the least hash of their id.
+#: One in so many labelled documents is kept from the models that calibrate, all on what these have not seen;
+#: the models that score count every labelled document.
 KEPT_APART = 5
-CALIBRATION = 8192
 #: Labels of so many bytes are sent to every task; beyond, they are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 _WORDS_HELD = 200_000
@@ -185,22 +184,29 @@ class Models:
         return np.array([sum([known[w] for w in words]) / max(1, len(words)) ** 0.5 for words in split])
 
 
-def calibrated(models: Models, differences: np.ndarray, labels: np.ndarray) -> Models:
-    """Slope and shift by logistic regression on the scaled difference, with a light ridge."""
-    if not len(labels) or labels.min() == labels.max():
-        share = float(labels.mean()) if len(labels) else 0.0
-        share = min(max(share, 0.01), 0.99)
+def calibrated(models: Models, rows: DataFrame) -> Models:
+    """Slope and shift by logistic regression on the scaled difference (``value``, ``kind``), with a light ridge.
+
+    Every step of Newton's method is one aggregate over all rows: five sums reach the driver.
+    """
+    kinds = rows.agg(F.min("kind"), F.max("kind"), F.avg("kind"), F.stddev_pop("value")).first()
+    if kinds[0] is None or kinds[0] == kinds[1]:
+        share = min(max(float(kinds[2] or 0), 0.01), 0.99)
         return Models(models.cells, 0.0, float(np.log(share / (1 - share))))
-    scale = differences.std() or 1.0
-    x, w = np.stack([differences / scale, np.ones(len(labels))], 1), np.zeros(2)
+    scale = kinds[3] or 1.0
+    x, w = F.col("value") / scale, np.zeros(2)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        score = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x * float(w[0]) + float(w[1])))
+        p = 1 / (1 + F.exp(-score))
+        weight, rest = p * (1 - p) + 1e-9, F.col("kind") - p
+        a, b, c, d, e = rows.agg(F.sum(weight * x * x), F.sum(weight * x), F.sum(weight), F.sum(rest * x), F.sum(rest)).first()
         ridge = np.array([0.01, 0.0])
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge + 1e-9), x.T @ (labels - p) - ridge * w)
+        step = np.linalg.solve(np.array([[a, b], [b, c]]) + np.diag(ridge + 1e-9), np.array([d, e]) - ridge * w)
         w = w + step
+        # Sums of parts differ in their last digits from run to run; what is left of that is rounded off.
         if np.abs(step).max() < 1e-8:
             break
-    return Models(models.cells, float(w[0] / scale), float(w[1]))
+    return Models(models.cells, float(f"{w[0] / scale:.9g}"), float(f"{w[1]:.9g}"))
 
 
 def _with_text(docs: DataFrame) -> DataFrame:
@@ -239,54 +245,64 @@ def _gathered(batches: Iterator[pa.RecordBatch], flush) -> Iterator[pa.RecordBat
         yield from flush(kind, words)
 
 
-def _rows(cells: np.ndarray, sums: np.ndarray | None) -> pa.RecordBatch:
+def _rows(cells: np.ndarray, sums: np.ndarray | None, apart: int) -> pa.RecordBatch:
     n = pa.array(sums) if sums is not None else pa.nulls(len(cells), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(cells), n], ["cell", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(cells), n, pa.array(np.full(len(cells), apart, np.int32))], ["cell", "n", "apart"])
 
 
-def language_models(docs: DataFrame, labelled: DataFrame) -> Models:
-    """Tables from all words of all labelled texts, and the shared ones from all words of all texts.
+def language_models(docs: DataFrame, labelled: DataFrame) -> tuple[Models, Models]:
+    """Tables from all words of all labelled texts, and the shared ones from all words of all texts; and the same
+    without the labelled texts that are ``apart``.
 
     Tasks send distinct cells, which are summed or made distinct by a shuffle; no more than ``CELLS``
-    sums reach the driver, whatever the input.
+    pairs of sums reach the driver, whatever the input.
     """
 
-    def of_class(kind: int, words: Counter) -> Iterator[pa.RecordBatch]:
-        names = list(words)
+    def of_class(tag: int, words: Counter) -> Iterator[pa.RecordBatch]:
+        names, kind, apart = list(words), tag // 2, tag % 2
         if names:
             cells, sums, marks = class_counts(names, np.fromiter(words.values(), np.int64, len(words)), kind)
-            yield _rows(cells, sums)
-            yield _rows(marks, None)
+            yield _rows(cells, sums, apart)
+            yield _rows(marks, None, apart)
 
     def shared(_: int, words: Counter) -> Iterator[pa.RecordBatch]:
         if words:
-            yield _rows(shared_marks(list(words)), None)
+            yield _rows(shared_marks(list(words)), None, 0)
+
+    schema = "cell long, n long, apart int"
+    tag = (F.col("kind") * 2 + F.col("apart").cast("int")).alias("tag")
+    seen = labelled.select("text", tag).mapInArrow(frugal(lambda b: _gathered(b, of_class)), schema)
+    every = _with_text(docs).select("text", F.lit(4).alias("tag")).mapInArrow(frugal(lambda b: _gathered(b, shared)), schema)
+    taught = F.when(F.col("apart") == 0, F.col("n")).otherwise(0)
+    summed = seen.where("n is not null").groupBy("cell").agg(F.sum("n").alias("n"), F.sum(taught).alias("taught"))
+    # A mark that some text not apart has counts for both.
+    marked = seen.where("n is null").unionByName(every).groupBy("cell").agg(F.min("apart").alias("apart"))
+    once = marked.groupBy(F.shiftright("cell", 32).alias("cell")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("apart") == 0).alias("taught")
+    )
+    kinds = {"cell": "int", "n": "float", "taught": "float"}
+    found = summed.unionByName(once).select(*(F.col(name).cast(kind).alias(name) for name, kind in kinds.items())).toArrow()
+
+    def tables(name: str) -> Models:
+        cells = np.zeros(CELLS, np.float32)
+        cells[found.column("cell").to_numpy()] = found.column(name).to_numpy()
+        return Models(cells)
 
-    seen = labelled.select("text", "kind").mapInArrow(frugal(lambda b: _gathered(b, of_class)), "cell long, n long")
-    every = _with_text(docs).select("text", F.lit(2).alias("kind")).mapInArrow(frugal(lambda b: _gathered(b, shared)), "cell long, n long")
-    summed = seen.where("n is not null").groupBy("cell").agg(F.sum("n").alias("n"))
-    marked = seen.where("n is null").unionByName(every).groupBy("cell").agg(F.lit(1).alias("one"))
-    once = marked.groupBy(F.shiftright("cell", 32).alias("cell")).agg(F.count("*").alias("n"))
-    found = summed.unionByName(once).select(F.col("cell").cast("int").alias("cell"), F.col("n").cast("float").alias("n")).toArrow()
-    cells = np.zeros(CELLS, np.float32)
-    cells[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return Models(cells)
+    return tables("n"), tables("taught")
 
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: tuple[int, int] = (4, 2)) -> Models:
-    """Language models from all labelled rows and all texts; the score's line from a bounded sample."""
-    known = training_labels(labels, label, fold)
-    apart = F.pmod(F.xxhash64("doc_id"), F.lit(KEPT_APART)) == 0
-    models = language_models(docs, _labelled(docs, known.where(~apart)))
-    sample = F.broadcast(known.where(apart).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION))
+    """Language models from all labelled rows and all texts; the score's line from all labelled rows kept apart,
+    by models that don't count these."""
+    known = training_labels(labels, label, fold).withColumn("apart", F.pmod(F.xxhash64("doc_id"), F.lit(KEPT_APART)) == 0)
+    models, without = language_models(docs, _labelled(docs, known))
+    apart = _labelled(docs, known.where("apart")).select("doc_id", "text", "kind")
     rows = (
-        _with_text(docs).join(sample, "doc_id")
-        .mapInArrow(frugal(_scoring(models, "kind")), "doc_id long, value double, kind int")
+        apart.mapInArrow(frugal(_scoring(without, "kind")), "doc_id long, value double, kind int")
         .groupBy("doc_id").agg(F.min("value").alias("value"), F.first("kind").alias("kind"))
-        .collect()
     )
-    rows.sort(key=lambda r: r["doc_id"])
-    return calibrated(models, np.array([r["value"] for r in rows]), np.array([r["kind"] for r in rows], float))
+    line = calibrated(without, staged(rows, "calibration"))
+    return Models(models.cells, line.slope, line.shift)
 
 
 def _scoring(models: Models, extra: str | None = None):

@@ -111,3 +111,16 @@ def test_odd_tables(spark, module, label):
         assert sorted(str(r["doc_id"]) for r in found) == sorted(str(r[0]) for r in rows)
         assert all(0 <= r["score"] <= 1 for r in found)
     assert module.scored(docs.limit(0), some).count() == 0
+
+
+def test_toxicity_calibrates_on_every_row_without_collecting_them(spark):
+    import numpy as np
+
+    from folioflow.llm import toxicity
+
+    rows = spark.range(20_000).selectExpr("cast(id % 200 as double) / 100 - 1 as value", "cast(id % 7 = 0 or id % 200 > 120 as int) as kind")
+    line = toxicity.calibrated(toxicity.Models(np.zeros(0, np.float32)), rows)
+    data = rows.toPandas()
+    odds = 1 / (1 + np.exp(-(line.slope * data["value"] + line.shift)))
+    # At the maximum of the likelihood what is left over is 0, but for the light ridge.
+    assert abs((data["kind"] - odds).sum()) < 0.01 and abs(((data["kind"] - odds) * data["value"]).sum()) < 0.1
