@@ -100,6 +100,32 @@ def test_a_write_that_breaks_off_leaves_the_old_file(tmp_path):
     assert target.read_text() == "old" and [f.name for f in tmp_path.iterdir()] == ["a.txt"]
 
 
+def test_unfinished_files_lie_in_a_folder_of_their_attempt(spark, tmp_path):
+    seen = []
+
+    def write(out):
+        out.write(b"x")
+        seen.extend((f.name, f.is_dir()) for f in tmp_path.iterdir())
+
+    # As long as a name may be: there is no room for an attempt beside it.
+    name = "a" * 251 + ".txt"
+    stores = Stores()
+    stores.put(f"file:{tmp_path}/{name}", write, "7")
+    stores.close()
+    assert seen == [(".7", True)] and [f.name for f in tmp_path.iterdir()] == [name]
+    assert stores.about(f"file:{tmp_path}/{name}")[0] == 1 and stores.about(str(tmp_path)) is None
+    rows = spark.createDataFrame([(f"{tmp_path}/{name}", "yy")], "target string, content string")
+    assert [r["error"] for r in write_files(rows).collect()] == [None]
+    assert (tmp_path / name).read_text() == "yy" and len(list(tmp_path.iterdir())) == 1
+
+
+def test_rows_are_made_once_to_be_dealt_out(spark, folder):
+    listed = list_files(spark, str(folder), TXT_FILES)
+    made = listed.withColumn("length", F.col("length") + F.floor(F.rand()).cast("long"))
+    plan = contents.dealt_out(made)._jdf.queryExecution().toString()
+    assert "rand" not in plan
+
+
 def test_files_from_rows_keep_their_write_time(spark, tmp_path):
     rows = spark.createDataFrame(
         [(f"{tmp_path}/x/a.txt", "ñ", 1_000_000_000), (f"file:{tmp_path}/x/b.txt", None, None)], "target string, content string, modified long"
