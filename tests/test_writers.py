@@ -42,6 +42,16 @@ def test_two_writers_of_one_guide(spark, tmp_path):
     assert second.known(spark.createDataFrame([("g1",), ("g9",)], "k string")).collect()[0][0] == "g1"
 
 
+def test_names_are_those_of_the_rows_written(spark, tmp_path):
+    # Rows that come out otherwise each time they are made.
+    registry = GuideRegistry(spark, str(tmp_path / "guides"))
+    registry.append("a", guides(spark, ("G1", "D1", "x"), ("G2", "D2", "x")).withColumn("greName", F.uuid()), NOW)
+    assert sorted(r["key"] for r in registry.names().collect()) == sorted(r["greName"] for r in registry.read().collect())
+    invoices = InvoiceRegistry(spark, str(tmp_path / "invoices"))
+    invoices.add("a", filled(spark, HEADER_SCHEMA, [("x", "1")], ["NameFile", "FacInterno"]).withColumn("NameFile", F.uuid()), NOW)
+    assert [r["key"] for r in invoices.names().collect()] == [r["NameFile"] for r in invoices.headers().collect()]
+
+
 def test_a_number_is_claimed_once(spark, tmp_path):
     registry = GuideRegistry(spark, str(tmp_path / "guides"))
     assert registry._claimed(1) and not registry._claimed(1) and registry._claimed(3)
