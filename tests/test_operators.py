@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioflow.operators import alerts, listing
 from folioflow.operators.alerts import AlertRules
 from folioflow.operators.attempts import number_attempts
-from folioflow.operators.guides import supersede_within
+from folioflow.operators.guides import evaluate, supersede_within
 from folioflow.operators.parameters import invoice_folder
 from folioflow.operators.reconcile import mark_registered, registered_keys, run_counters
 from folioflow.streaming import stateful
@@ -258,3 +258,25 @@ def test_invoice_folder(spark):
     assert invoice_folder(parameters.limit(0), "/configured") is None
     assert invoice_folder(None, "/configured/") == "/configured"
     assert invoice_folder(None, " ") is None
+
+
+def test_pdfs_without_a_guide_name_are_not_looked_for_by_one_key(spark):
+    """All of them spell the same name: as a join key it would bring them together."""
+    asked = []
+
+    def known(candidates):
+        asked.append(sorted(r["key"] or "" for r in candidates.collect()))
+        return spark.createDataFrame([("gr-0t001-0000001",), ("gr-0t001-0000009",), ("gr-0-",)], "registered_key string")
+
+    def pdf(n):
+        return (f"/in/20100000001-09-T001-0000000{n}.pdf", dt.datetime(2026, 4, n), 5)
+
+    pdfs = spark.createDataFrame([pdf(n) for n in range(1, 7)], "path string, effective_time timestamp_ntz, length long")
+    texts = {3: "A;Serie;1; \nA;Correlativo;1;1", 4: "A;Serie;1;T001\nA;Correlativo;1;0000009", 5: "A;Serie;1;T001\nA;Correlativo;1;0000005"}
+    records = spark.createDataFrame([(f"/in/20100000001-T001-000000{n}.txt", t) for n, t in texts.items()], "path string, value string")
+    judged = {r["path"][-5]: r["reason"] for r in evaluate(pdfs, records, known).collect()}
+    assert judged == {
+        "1": "already_registered", "2": "record_missing", "3": "serie_or_correlative_missing", "4": "already_registered",
+        "5": "bad_motive", "6": "record_missing",
+    }
+    assert asked[1] == ["", "", "", "", "gr-0t001-0000005", "gr-0t001-0000009"]
