@@ -36,6 +36,8 @@ KEPT_APART = 5
 #: Labels of so many bytes are sent to every task; beyond, they are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 _WORDS_HELD = 200_000
+#: Tag of texts without a label; that of others says their class and whether they are apart.
+_UNLABELLED = 4
 _PAD, _END = 1, 2
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _EDGES = b".,;:!?\"'()[]{}<>|*#$%&"
@@ -224,25 +226,23 @@ def training_labels(labels: DataFrame, label: str, fold: tuple[int, int]) -> Dat
     )
 
 
-def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+def _labelled(docs: DataFrame, known: DataFrame, how: str = "inner") -> DataFrame:
     if known.count() * 16 <= BROADCAST_BYTES:
         known = F.broadcast(known)
-    return _with_text(docs).join(known, "doc_id")
+    return _with_text(docs).join(known, "doc_id", how)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], flush) -> Iterator[pa.RecordBatch]:
-    """Count the words of the batches' texts by class; hand them on whenever many are held."""
+    """Count the words of the batches' texts by tag; hand them on together whenever many are held."""
     held: dict[int, Counter] = {}
     for batch in batches:
-        kinds = batch.column(1).to_pylist()
-        for text, kind in zip(batch.column(0).cast(pa.binary()), kinds):
-            held.setdefault(kind, Counter()).update(words_of(text.as_py() or b""))
+        tags = batch.column(1).to_pylist()
+        for text, tag in zip(batch.column(0).cast(pa.binary()), tags):
+            held.setdefault(tag, Counter()).update(words_of(text.as_py() or b""))
         if sum(map(len, held.values())) > _WORDS_HELD:
-            for kind, words in held.items():
-                yield from flush(kind, words)
+            yield from flush(held)
             held = {}
-    for kind, words in held.items():
-        yield from flush(kind, words)
+    yield from flush(held)
 
 
 def _rows(cells: np.ndarray, sums: np.ndarray | None, apart: int) -> pa.RecordBatch:
@@ -250,38 +250,42 @@ def _rows(cells: np.ndarray, sums: np.ndarray | None, apart: int) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(cells), n, pa.array(np.full(len(cells), apart, np.int32))], ["cell", "n", "apart"])
 
 
-def language_models(docs: DataFrame, labelled: DataFrame) -> tuple[Models, Models]:
+def language_models(texts: DataFrame) -> tuple[Models, Models]:
     """Tables from all words of all labelled texts, and the shared ones from all words of all texts; and the same
     without the labelled texts that are ``apart``.
 
-    Tasks send distinct cells, which are summed or made distinct by a shuffle; no more than ``CELLS``
+    ``texts`` holds all texts with ``kind`` and ``apart``, null where there is no label, so that every text is read and
+    counted once. Tasks send distinct cells, which are summed or made distinct by a shuffle; no more than ``CELLS``
     pairs of sums reach the driver, whatever the input.
     """
 
-    def of_class(tag: int, words: Counter) -> Iterator[pa.RecordBatch]:
-        names, kind, apart = list(words), tag // 2, tag % 2
+    def counted(held: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
+        for tag, words in held.items():
+            if words and tag != _UNLABELLED:
+                kind, apart = tag // 2, tag % 2
+                cells, sums, marks = class_counts(list(words), np.fromiter(words.values(), np.int64, len(words)), kind)
+                yield _rows(cells, sums, apart)
+                yield _rows(marks, None, apart)
+        names = list(set().union(*held.values()))
         if names:
-            cells, sums, marks = class_counts(names, np.fromiter(words.values(), np.int64, len(words)), kind)
-            yield _rows(cells, sums, apart)
-            yield _rows(marks, None, apart)
-
-    def shared(_: int, words: Counter) -> Iterator[pa.RecordBatch]:
-        if words:
-            yield _rows(shared_marks(list(words)), None, 0)
-
-    schema = "cell long, n long, apart int"
-    tag = (F.col("kind") * 2 + F.col("apart").cast("int")).alias("tag")
-    seen = labelled.select("text", tag).mapInArrow(frugal(lambda b: _gathered(b, of_class)), schema)
-    every = _with_text(docs).select("text", F.lit(4).alias("tag")).mapInArrow(frugal(lambda b: _gathered(b, shared)), schema)
+            yield _rows(shared_marks(names), None, 0)
+
+    tag = F.coalesce(F.col("kind") * 2 + F.col("apart").cast("int"), F.lit(_UNLABELLED)).alias("tag")
+    sent = texts.select("text", tag).mapInArrow(frugal(lambda b: _gathered(b, counted)), "cell long, n long, apart int")
     taught = F.when(F.col("apart") == 0, F.col("n")).otherwise(0)
-    summed = seen.where("n is not null").groupBy("cell").agg(F.sum("n").alias("n"), F.sum(taught).alias("taught"))
-    # A mark that some text not apart has counts for both.
-    marked = seen.where("n is null").unionByName(every).groupBy("cell").agg(F.min("apart").alias("apart"))
-    once = marked.groupBy(F.shiftright("cell", 32).alias("cell")).agg(
-        F.count("*").alias("n"), F.count_if(F.col("apart") == 0).alias("taught")
+    # Sums are numbered by their cell, marks by more, so neither is taken for the other. A mark that some text not
+    # apart has counts for both.
+    once = sent.groupBy("cell").agg(F.sum("n").alias("n"), F.sum(taught).alias("taught"), F.min("apart").alias("apart"))
+    mark = F.col("n").isNull()
+    found = (
+        once.groupBy(F.when(mark, F.shiftright("cell", 32)).otherwise(F.col("cell")).alias("cell"))
+        .agg(
+            F.sum(F.coalesce("n", F.lit(1))).alias("n"),
+            F.sum(F.when(mark, (F.col("apart") == 0).cast("long")).otherwise(F.col("taught"))).alias("taught"),
+        )
+        .select(F.col("cell").cast("int"), F.col("n").cast("float"), F.col("taught").cast("float"))
+        .toArrow()
     )
-    kinds = {"cell": "int", "n": "float", "taught": "float"}
-    found = summed.unionByName(once).select(*(F.col(name).cast(kind).alias(name) for name, kind in kinds.items())).toArrow()
 
     def tables(name: str) -> Models:
         cells = np.zeros(CELLS, np.float32)
@@ -295,7 +299,7 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: tupl
     """Language models from all labelled rows and all texts; the score's line from all labelled rows kept apart,
     by models that don't count these."""
     known = training_labels(labels, label, fold).withColumn("apart", F.pmod(F.xxhash64("doc_id"), F.lit(KEPT_APART)) == 0)
-    models, without = language_models(docs, _labelled(docs, known))
+    models, without = language_models(_labelled(docs, known, "left"))
     apart = _labelled(docs, known.where("apart")).select("doc_id", "text", "kind")
     rows = (
         apart.mapInArrow(frugal(_scoring(without, "kind")), "doc_id long, value double, kind int")

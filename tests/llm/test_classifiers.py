@@ -124,3 +124,30 @@ def test_toxicity_calibrates_on_every_row_without_collecting_them(spark):
     odds = 1 / (1 + np.exp(-(line.slope * data["value"] + line.shift)))
     # At the maximum of the likelihood what is left over is 0, but for the light ridge.
     assert abs((data["kind"] - odds).sum()) < 0.01 and abs(((data["kind"] - odds) * data["value"]).sum()) < 0.1
+
+
+def test_toxicity_counts_every_text_once(spark):
+    """One pass over all texts fills both classes' tables and the shared ones; a second one calibrates."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, "foul thug" if i % 3 == 0 else "fine words here") for i in range(60)] + [(None, "fine foul"), (7, "once more"), (90, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(seen, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)], "doc_id long, toxic int")
+    models = toxicity.trained(docs, labels)
+    assert read.value == 2 * len(rows)
+
+    taught = {r["doc_id"]: r["kind"] for r in toxicity.training_labels(labels, "toxic", (4, 2)).collect()}
+    cells, marks = np.zeros(toxicity.CELLS, np.float32), [toxicity.shared_marks(list({w for _, t in rows for w in toxicity.words_of((t or "").encode())}))]
+    for kind in (0, 1):
+        words = Counter(w for i, t in rows if taught.get(i) == kind for w in toxicity.words_of(t.encode()))
+        at, sums, mark = toxicity.class_counts(list(words), np.array(list(words.values())), kind)
+        cells[at] = sums
+        marks.append(mark)
+    at, n = np.unique(np.unique(np.concatenate(marks)) >> 32, return_counts=True)
+    cells[at] = n
+    assert (models.cells == cells).all()
