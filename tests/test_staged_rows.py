@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioflow.catalog import guide_queries, synthetic
+from folioflow.catalog import guide_queries, invoice_queries, synthetic
+from folioflow.operators import invoices, reconcile
 from folioflow.session import cut_lineage
 
 
@@ -31,3 +32,37 @@ def test_only_the_columns_asked_for_are_picked(spark, monkeypatch):
     monkeypatch.setattr(guide_queries, "_judged", lambda *_: rows)
     picked = guide_queries._accepted(spark, "", "delivery")
     assert [tuple(r) for r in picked.collect()] == [("g", "2001-01-01", "a", "one")]
+
+
+def _orders(tmp_path, rows):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    made = [(k, 7, s, dt.datetime(2001, 2, 3)) for k, s in rows]
+    columns = dict(zip(("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"), map(list, zip(*made))))
+    pq.write_table(pa.table(columns), tmp_path / "orders.parquet")
+    return str(tmp_path)
+
+
+def test_the_registered_check_of_invoices_sees_names_only(spark, tmp_path, monkeypatch):
+    checked, check = [], reconcile.not_registered
+
+    def seen(candidates, *rest):
+        checked.append(candidates.columns)
+        return check(candidates, *rest)
+
+    monkeypatch.setattr(reconcile, "not_registered", seen)
+    folder = _orders(tmp_path, [(1, "O"), (2, "F"), (2, "O"), (4, "O"), (4, "O"), (None, "O")])
+    found = invoice_queries.invoices_to_register(spark, folder).collect()
+    assert sorted(r["name_file"] for r in found if r["name_file"]) == ["/01_INV_F113_000000000001.xml", "/01_INV_F113_000000000004.xml"]
+    assert checked and all("value" not in columns for columns in checked)
+
+
+def test_only_the_header_fields_asked_for_leave_the_parser(spark, tmp_path):
+    folder = _orders(tmp_path, [(k, "O") for k in range(1, 200)])
+    documents = synthetic.invoice_documents(synthetic.orders(spark, folder)).select("invoice_id", "name_file", "value")
+    whole, part = invoices.evaluate(documents), invoices.evaluate(documents, ("NumPed", "referenceDocNumber"))
+    assert "Cliente" not in part.columns and "NumPed" in part.columns
+    assert sorted(map(repr, whole.select(part.columns).collect())) == sorted(map(repr, part.collect()))
