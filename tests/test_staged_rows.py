@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioflow.catalog import guide_queries, invoice_queries, synthetic
+from folioflow.functions.records import index_records
 from folioflow.operators import invoices, reconcile
 from folioflow.session import cut_lineage
 
@@ -66,3 +67,10 @@ def test_only_the_header_fields_asked_for_leave_the_parser(spark, tmp_path):
     whole, part = invoices.evaluate(documents), invoices.evaluate(documents, ("NumPed", "referenceDocNumber"))
     assert "Cliente" not in part.columns and "NumPed" in part.columns
     assert sorted(map(repr, whole.select(part.columns).collect())) == sorted(map(repr, part.collect()))
+
+
+def test_entries_are_sorted_natively(spark):
+    """A comparing lambda would be interpreted for every pair of lines of every record."""
+    indexed = index_records(spark.createDataFrame([("A;k;1;b\nA;a;1;x\nA;k;2;c",), (None,)], "value string"))
+    assert "array_sort(" not in indexed._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["attributes"] for r in indexed.select("attributes").collect()] == [{"a": "x", "k": "b"}, None]
