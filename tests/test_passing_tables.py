@@ -9,10 +9,10 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from folioflow.catalog import landed_queries
-from folioflow.plans.jobs import register_landed_invoices
+from folioflow.plans.jobs import companion_records, register_guides, register_landed_invoices
 from folioflow.session import cut_lineage, settle, shared_folder
-from folioflow.sinks.registry import InvoiceRegistry
-from folioflow.sources.landing import XML_FILES, list_files
+from folioflow.sinks.registry import GuideRegistry, InvoiceRegistry
+from folioflow.sources.landing import PDF_FILES, XML_FILES, list_files
 
 AS_OF = dt.datetime(2024, 1, 2)
 
@@ -65,3 +65,16 @@ def test_a_batch_of_invoices_keeps_what_it_works_on_and_returns(spark, tmp_path)
     register_landed_invoices(registry, files, folders.xml, AS_OF, "a")
     # The files without the registered ones, the same dealt out, and the judged documents.
     assert len(_tables(spark) - before) == 3 and registry.headers().count() == 3
+
+
+def test_a_batch_of_guides_keeps_what_it_returns_and_what_it_registered(spark, tmp_path):
+    folders = landed_queries.land(spark, _orders(tmp_path, [1, 2, 4]), ("pdf", "txt"))
+    registry, pdfs = GuideRegistry(spark, f"{tmp_path}/guides"), list_files(spark, folders.pdf, PDF_FILES)
+    records = companion_records(spark, folders.txt, pdfs)
+    before = _tables(spark)
+    judged = register_guides(registry, pdfs, records, AS_OF, "a", folders)
+    # The judged PDFs and the accepted ones.
+    assert len(_tables(spark) - before) == 2
+    assert judged.where("status = 'accepted'").count() == registry.read().count() == 3
+    routed = [name for _, _, names in os.walk(folders.routed.removeprefix("file:")) for name in names]
+    assert sorted(routed) == sorted(os.listdir(folders.pdf.removeprefix("file:")))
